@@ -14,8 +14,8 @@ _ACCURACY = 1_000
 _MARGIN = 0.002
 
 
-def _number(column: str) -> Column:
-    """The column as double without NaN, which takes no part in a median."""
+def without_nan(column: str) -> Column:
+    """The column as double, with null for NaN."""
     value = F.col(column).cast("double")
     return F.when(~F.isnan(value), value)
 
@@ -26,8 +26,8 @@ def column_medians(
     """Median of each column: an element whose rank is within ``relative_error`` of the middle.
 
     All columns share one aggregate, which stays part of the calling query as a scalar subquery:
-    nothing is run here, and Spark reuses the exchanges that both sides have in common. Nulls are
-    ignored; a column without values has a null median. With ``relative_error=0`` the medians are
+    nothing is run here, and Spark reuses the exchanges that both sides have in common. Nulls and
+    NaN are ignored; a column without values has a null median. With ``relative_error=0`` the medians are
     exact and this call runs jobs; give it a stored table, since every round scans ``df`` twice.
     """
     if not columns:
@@ -35,7 +35,7 @@ def column_medians(
     if relative_error == 0:
         return {c: F.lit(m).cast("double") for c, m in exact_medians(df, columns).items()}
     accuracy = round(1 / relative_error)
-    digests = [F.percentile_approx(_number(c), 0.5, accuracy).alias(c) for c in columns]
+    digests = [F.percentile_approx(without_nan(c), 0.5, accuracy).alias(c) for c in columns]
     medians = df.agg(F.struct(*digests).alias("medians")).scalar()
     return {c: medians.getField(c) for c in columns}
 
@@ -47,7 +47,7 @@ def exact_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | No
     rows in question shrink by a factor of some hundreds while the driver sees a few numbers per
     column. A hot value is settled by the counts, whatever its share of the rows.
     """
-    head = df.agg(*[F.count(_number(c)).alias(c) for c in columns]).first()
+    head = df.agg(*[F.count(without_nan(c)).alias(c) for c in columns]).first()
     result: dict[str, float | None] = {c: None for c in columns}
     # column -> (open lower bound, open upper bound, rows up to the lower bound, rows inside)
     pending = {c: (None, None, 0, head[c]) for c in columns if head[c]}
@@ -59,7 +59,7 @@ def exact_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | No
 def _narrow(df: DataFrame, ranks: dict, pending: dict, result: dict) -> dict:
     probes = []
     for c, (low, high, below, inside) in pending.items():
-        value = _number(c)
+        value = without_nan(c)
         if low is not None:
             value = F.when(value > low, value)
         if high is not None:
@@ -75,7 +75,7 @@ def _narrow(df: DataFrame, ranks: dict, pending: dict, result: dict) -> dict:
 
     counts = []
     for c in pending:
-        value, (low, high) = _number(c), found[c]
+        value, (low, high) = without_nan(c), found[c]
         counts += [
             F.struct(
                 F.count_if(value < low).alias("before_low"),

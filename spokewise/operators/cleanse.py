@@ -7,8 +7,9 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spokewise.functions.statistics import column_medians
+from spokewise.functions.statistics import column_medians, without_nan
 from spokewise.schemas import TableSpec, check_defaults
+from spokewise.session import stored
 
 
 def drop_duplicate_rows(df: DataFrame) -> DataFrame:
@@ -40,12 +41,8 @@ def fill_missing(
         check_defaults(df.schema, defaults)
         df = df.fillna(dict(defaults))
     if statistics:
-        present = {c: F.col(c).cast("double") for c in statistics}
         df = df.withColumns(
-            {
-                c: F.when(~F.isnan(value), value).otherwise(statistics[c])
-                for c, value in present.items()
-            }
+            {c: F.coalesce(without_nan(c), statistic) for c, statistic in statistics.items()}
         )
     return df
 
@@ -58,6 +55,8 @@ def clean(df: DataFrame, spec: TableSpec, relative_error: float = 0.01) -> DataF
     and all negatives coincide with it when it is. A second pass would find the same element.
     """
     rows = drop_duplicate_rows(df)
+    if relative_error == 0:
+        rows = stored(rows, f"distinct-{spec.name}")  # exact medians scan several times
     medians = column_medians(
         rows, list(dict.fromkeys((*spec.median_repair, *spec.median_fill))), relative_error
     )

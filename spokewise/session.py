@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 GIB = 1 << 30
 MIB = 1 << 20
@@ -56,3 +56,15 @@ def shared_dir(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that nobody has used yet."""
     return f"{shared_dir(spark)}/spokewise/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The same rows, written once to the shared folder and read back.
+
+    For rows that several passes need: later passes scan columns instead of repeating the shuffles
+    behind them, and a lost executor costs a re-read, not a recomputation.
+    """
+    spark = df.sparkSession
+    path = fresh_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
