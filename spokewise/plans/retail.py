@@ -8,9 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spokewise.functions.dates import parse_date
 from spokewise.operators import audit, cleanse, recommend, sales, segments, supply
-from spokewise.schemas import TABLES, TableSpec
+from spokewise.schemas import TABLES
 from spokewise.sinks.models import save_model
 from spokewise.sinks.tables import publish_jdbc, write_parquet
 from spokewise.sources.tables import read_table
@@ -69,15 +68,18 @@ class RetailJob:
         return self.write(audit.combine(reports), "audit")
 
     def analyse(self, recommender_blocks: int | None = None) -> None:
-        orders = dated(self.cleaned("orders"), TABLES["orders"])
+        orders = self.cleaned("orders")
+        date_format = TABLES["orders"].date_formats["OrderDate"]
         customers, bikes = self.cleaned("customers"), self.cleaned("bikes")
 
         daily = self.write(
-            sales.daily_sales(orders).orderBy("OrderDate"), "reports", "daily_sales"
+            sales.daily_sales(orders, date_format).orderBy("OrderDate"), "reports", "daily_sales"
         )
         self.save(sales.fit_forecast(sales.sales_features(daily), "TotalSales"), "sales_forecast")
 
-        monthly = self.write(supply.monthly_supply(orders, bikes), "reports", "monthly_supply")
+        monthly = self.write(
+            supply.monthly_supply(orders, bikes, date_format), "reports", "monthly_supply"
+        )
         self.save(
             sales.fit_forecast(supply.supply_features(monthly), "TotalQuantity"),
             "supply_forecast",
@@ -111,11 +113,6 @@ class RetailJob:
             )
 
 
-def dated(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """The table with its date texts parsed, each by the column's one declared form."""
-    return df.withColumns({c: parse_date(c, form) for c, form in spec.date_formats.items()})
-
-
 def run(
     spark: SparkSession,
     inputs: Mapping[str, str],

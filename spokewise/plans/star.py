@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spokewise.functions.dates import LENIENT_DATE, parse_date
 from spokewise.operators.recommend import with_known
 from spokewise.sources.tables import read_parquet
 
@@ -19,7 +18,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def date_text() -> Column:
-    """Order date as text: missing on low priority, no real date on urgent orders."""
+    """Order date as d/M/y text: missing on low priority, no real date on urgent orders."""
     written = F.date_format("o_orderdate", "d/M/yyyy")
     return (
         F.when(F.col("o_orderpriority") == "5-LOW", F.lit(None).cast("string"))
@@ -29,13 +28,9 @@ def date_text() -> Column:
 
 
 def order_heads(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
-    """(OrderId, CustomerKey, OrderDate); ``dirty`` dates pass through text and parse again."""
-    heads = table(spark, sf_dir, "orders")
-    date = F.to_date("o_orderdate")
-    if dirty:
-        heads = heads.withColumn("date_text", date_text())
-        date = parse_date("date_text", LENIENT_DATE)
-    return heads.select(
+    """(OrderId, CustomerKey, OrderDate); with ``dirty`` the date is text, see ``date_text``."""
+    date = date_text() if dirty else F.to_date("o_orderdate")
+    return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("OrderId"),
         F.col("o_custkey").alias("CustomerKey"),
         date.alias("OrderDate"),

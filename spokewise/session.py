@@ -15,15 +15,18 @@ def scale_settings(input_bytes: int, cores: int) -> dict[str, str]:
     """Runtime SQL settings for an input of ``input_bytes`` on ``cores`` task slots.
 
     The shuffle starts with about one partition per GiB of input (AQE merges the small ones and
-    splits the skewed ones), never fewer than the cores and never so many that map x reduce blocks
+    splits the skewed ones, aiming at the same size), never fewer than the cores and never so many that map x reduce blocks
     swamp the shuffle service. Small inputs keep small splits so that every core has work.
     """
     partitions = max(cores, min(100_000, -(-input_bytes // GIB)))
     split = max(16 * MIB, min(GIB, input_bytes // max(1, 4 * cores)))
+    merged = max(64 * MIB, min(512 * MIB, input_bytes // max(1, 16 * cores)))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(merged),
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * merged),
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(split),
     }

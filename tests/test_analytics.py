@@ -4,9 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from spokewise.functions.dates import LENIENT_DATE, parse_date
 from spokewise.operators import recommend, sales, segments, supply
-from spokewise.plans.retail import dated
-from spokewise.schemas import ORDERS
 from spokewise.session import stored
 from tests.retail_rows import frame
 
@@ -14,12 +13,19 @@ day = datetime.date
 
 
 @pytest.fixture(scope="module")
-def orders(spark):
-    return dated(frame(spark, "orders").dropDuplicates(), ORDERS).fillna({"Quantity": 1})
+def text_orders(spark):
+    return frame(spark, "orders").dropDuplicates().fillna({"Quantity": 1})
 
 
-def test_daily_sales_keep_one_group_without_date(orders):
-    assert {r.OrderDate: r.TotalSales for r in sales.daily_sales(orders).collect()} == {
+@pytest.fixture(scope="module")
+def orders(text_orders):
+    return text_orders.withColumn("OrderDate", parse_date("OrderDate", LENIENT_DATE))
+
+
+@pytest.mark.parametrize("as_text", [False, True])
+def test_daily_sales_keep_one_group_without_date(orders, text_orders, as_text):
+    daily = sales.daily_sales(text_orders, LENIENT_DATE) if as_text else sales.daily_sales(orders)
+    assert {r.OrderDate: r.TotalSales for r in daily.collect()} == {
         day(2020, 3, 1): 7,
         day(2020, 4, 1): 1,
         day(2021, 4, 15): -7,
@@ -65,8 +71,13 @@ def test_one_year_only_still_solves(spark):
     assert list(model.coefficients) == pytest.approx([0, 10, 0])
 
 
-def test_monthly_supply(spark, orders):
-    monthly = supply.monthly_supply(orders, frame(spark, "bikes").dropDuplicates())
+@pytest.mark.parametrize("as_text", [False, True])
+def test_monthly_supply(spark, orders, text_orders, as_text):
+    bikes = frame(spark, "bikes").dropDuplicates()
+    if as_text:
+        monthly = supply.monthly_supply(text_orders, bikes, LENIENT_DATE)
+    else:
+        monthly = supply.monthly_supply(orders, bikes)
     assert {
         (r.Year, r.Month, r.BikeFrame): r.TotalQuantity for r in monthly.collect()
     } == {
