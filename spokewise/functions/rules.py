@@ -73,6 +73,18 @@ class Present(Rule):
         return F.col(self.column).isNotNull()
 
 
+@dataclass(frozen=True)
+class WellFormed(Rule):
+    """The reader could make sense of the line; ``column`` keeps the lines where it could not."""
+
+    @property
+    def name(self) -> str:
+        return "line is well formed"
+
+    def condition(self) -> Column:
+        return F.col(self.column).isNull()
+
+
 @dataclass(frozen=True)
 class DateFormat(Rule):
     """Text, where there is any, is a valid date of this form. Pair with ``Present`` for gaps."""

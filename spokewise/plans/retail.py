@@ -8,19 +8,15 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spokewise.functions.rules import WellFormed
 from spokewise.operators import audit, cleanse, recommend, sales, segments, supply
 from spokewise.schemas import TABLES
 from spokewise.sinks.models import save_model
 from spokewise.sinks.tables import publish_jdbc, write_parquet
 from spokewise.sources.tables import read_table
 
-MODELS = (
-    "sales_forecast",
-    "supply_forecast",
-    "segmentation",
-    "segment_clusters",
-    "recommender",
-)
+# Column of the stored tables that keeps lines the reader could not make sense of.
+MALFORMED = "malformed_line"
 
 
 @dataclass(frozen=True)
@@ -51,20 +47,26 @@ class RetailJob:
         return self.spark.read.schema(df.schema).parquet(self.path(*parts))
 
     def cleaned(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path("clean", name))
+        """A cleaned table in its declared columns."""
+        table = self.spark.read.parquet(self.path("clean", name))
+        return table.select(*TABLES[name].schema.names)
 
     def clean(self, inputs: Mapping[str, str], file_format: str = "csv") -> None:
+        """Read and clean the tables. Lines that could not be read stay, and are marked."""
         for name, spec in TABLES.items():
-            rows = read_table(self.spark, spec, inputs[name], file_format)
+            rows = read_table(self.spark, spec, inputs[name], file_format, MALFORMED)
             self.write(cleanse.clean(rows, spec), "clean", name)
 
     def audit(self) -> DataFrame:
         """The report over all tables; rows that break a rule are set aside per table."""
         reports = []
         for name, spec in TABLES.items():
-            rows = self.cleaned(name)
-            reports.append(audit.audit(rows, spec.rules, name))
-            self.write(audit.violations(rows, spec.rules), "quarantine", name)
+            rows = self.spark.read.parquet(self.path("clean", name))
+            rules = spec.rules
+            if MALFORMED in rows.columns:
+                rules = (*rules, WellFormed(MALFORMED))
+            reports.append(audit.audit(rows, rules, name))
+            self.write(audit.violations(rows, rules), "quarantine", name)
         return self.write(audit.combine(reports), "audit")
 
     def analyse(self, recommender_blocks: int | None = None) -> None:

@@ -31,6 +31,11 @@ from spokewise.sources import models as saved
 from spokewise.sources.tables import read_csv, read_headerless_csv, read_parquet, rows_as_table
 
 
+# The day and the customer that scoring asks about.
+ASKED_DAY = (2023, 10, 9)
+ASKED_CUSTOMER = 12
+
+
 def _rounded(column, digits: int):
     return (F.round(column, digits) + F.lit(0.0)).alias
 
@@ -336,7 +341,7 @@ def sales_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sales_forecast_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Forecast of one day given as a literal row."""
     model = _sales_model(spark, _stored_daily(spark, sf_dir))
-    day = rows_as_table(spark, [(2023, 10, 9)], "Year int, Month int, Day int")
+    day = rows_as_table(spark, [ASKED_DAY], "Year int, Month int, Day int")
     scored = sales.forecast_sales(model, day)
     return scored.select(*sales.CALENDAR, _rounded(F.col("prediction"), 2)("prediction"))
 
@@ -419,14 +424,14 @@ def top5_for_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def top5_for_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = _recommender(spark, _stored_ratings(spark, sf_dir))
-    one = star.customers(spark, sf_dir).where(F.col("CustomerKey") == F.lit(12))
+    one = star.customers(spark, sf_dir).where(F.col("CustomerKey") == F.lit(ASKED_CUSTOMER))
     return recommend.ranked(recommend.recommend_to(model, one, 5))
 
 
 def recommendation_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every rated customer gets five distinct known bikes with falling scores."""
     ratings = _stored_ratings(spark, sf_dir)
-    lists = recommend.recommend_to_all(_recommender(spark, ratings), 5)
+    lists = stored(recommend.recommend_to_all(_recommender(spark, ratings), 5), "lists")
     known = ratings.select("BikeKey").distinct()
     strangers = recommend.ranked(lists).join(known, "BikeKey", "left_anti")
     scores = F.col("recommendations.rating")

@@ -20,8 +20,9 @@ def read_csv(
 ) -> DataFrame:
     """CSV with a header line; types come from ``schema``, or are inferred where none is given.
 
-    ``mode="FAILFAST"`` stops at a malformed line. In PERMISSIVE mode its fields become null and
-    ``corrupt_column``, if named, keeps the raw line.
+    A header that differs from the schema is an error. ``mode="FAILFAST"`` stops at a malformed
+    line; in PERMISSIVE mode its unreadable fields become null and ``corrupt_column``, if named,
+    keeps the raw line.
     """
     reader = spark.read.option("header", True).option("mode", mode)
     if schema is None:
@@ -29,7 +30,7 @@ def read_csv(
     if corrupt_column:
         schema = StructType([*schema.fields, StructField(corrupt_column, StringType())])
         reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
-    return reader.schema(schema).csv(path)
+    return reader.schema(schema).option("enforceSchema", False).csv(path)
 
 
 def read_headerless_csv(
@@ -49,10 +50,16 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_table(spark: SparkSession, spec: TableSpec, path: str, file_format: str = "csv") -> DataFrame:
+def read_table(
+    spark: SparkSession,
+    spec: TableSpec,
+    path: str,
+    file_format: str = "csv",
+    corrupt_column: str | None = None,
+) -> DataFrame:
     """One of the known tables from CSV or Parquet, in its declared columns."""
     if file_format == "csv":
-        return read_csv(spark, path, spec.schema)
+        return read_csv(spark, path, spec.schema, corrupt_column=corrupt_column)
     return spark.read.format(file_format).load(path).select(*spec.schema.names)
 
 

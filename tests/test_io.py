@@ -19,7 +19,7 @@ from spokewise.sources.tables import (
 )
 from tests.retail_rows import BIKE_ROWS, frame
 
-PAIRS = [("First", 1), ("Second", 2), ("Third", 3), ("Fourth", 4), ("Fifth", 5)]
+PAIRS = [("red", 1), ("green", 2), ("blue", 3)]
 PAIR_SCHEMA = StructType(
     [StructField("name", StringType()), StructField("number", LongType())]
 )
@@ -62,6 +62,13 @@ def test_malformed_lines(spark, tmp_path):
         read_csv(spark, str(path), schema, mode="FAILFAST").collect()
 
 
+def test_a_header_that_differs_from_the_schema_is_an_error(spark, tmp_path):
+    path = tmp_path / "swapped.csv"
+    path.write_text("number,name\n1,a\n")
+    with pytest.raises(Exception, match="header"):
+        read_csv(spark, str(path), PAIR_SCHEMA).collect()
+
+
 def test_parquet_and_catalog_publishing_replace(spark, tmp_path):
     path = str(tmp_path / "bikes")
     for rows in (frame(spark, "bikes"), frame(spark, "bikes").limit(2)):

@@ -5,18 +5,20 @@ import pytest
 from spokewise.__main__ import parser
 from spokewise.plans import retail, scoring
 from spokewise.schemas import TABLES
-from spokewise.sinks.tables import write_csv
 from spokewise.sources import models
-from tests.retail_rows import frame
+from tests.retail_rows import ROWS
 
 
 @pytest.fixture(scope="module")
 def job(spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("job")
     inputs = {}
-    for name in TABLES:
+    for name, (spec, rows) in ROWS.items():
+        lines = [",".join("" if v is None else str(v) for v in row) for row in rows]
+        if name == "orders":
+            lines.append("9,8,1,5,1,many,21/05/2022")
+        (folder / f"{name}.csv").write_text("\n".join([",".join(spec.schema.names), *lines]))
         inputs[name] = str(folder / f"{name}.csv")
-        write_csv(frame(spark, name), inputs[name], header=True)
     report = retail.run(spark, inputs, str(folder / "out")).collect()
     # a second run replaces everything
     assert retail.run(spark, inputs, str(folder / "out")).collect() == report
@@ -38,12 +40,23 @@ def test_report_lists_what_cleaning_could_not_mend(job):
         ("customers", "BirthDate is dd/MM/yyyy"): 2,
         ("orders", "OrderDate present"): 1,
         ("orders", "OrderDate is d/M/y"): 1,
+        ("orders", "line is well formed"): 1,
     }
 
 
 def test_quarantine(spark, job):
     rows = spark.read.parquet(job[0].path("quarantine", "orders")).collect()
-    assert sorted(r.OrderKey for r in rows) == [5, 7]
+    assert sorted((r.OrderKey, r.rule) for r in rows) == [
+        (5, "OrderDate is d/M/y"),
+        (7, "OrderDate present"),
+        (9, "line is well formed"),
+    ]
+    assert [r.malformed_line for r in rows if r.OrderKey == 9] == ["9,8,1,5,1,many,21/05/2022"]
+
+
+def test_published_tables_have_their_declared_columns(job):
+    for name, spec in TABLES.items():
+        assert job[0].cleaned(name).columns == spec.schema.names
 
 
 def test_reports(spark, job):
@@ -55,6 +68,7 @@ def test_reports(spark, job):
         "2021-04-15": 4.0,
         "2021-04-16": 3.0,
         "2022-05-20": 6.0,
+        "2022-05-21": 1.0,
     }
 
 
@@ -68,16 +82,16 @@ def test_scoring(spark, job):
 
     customers, orders = job.cleaned("customers"), job.cleaned("orders")
     segmented = scoring.score_segments(job.path("models", "segmentation"), customers, orders)
-    assert sorted(r.CustomerKey for r in segmented.collect()) == [1, 2, 3, 4]
+    assert sorted(r.CustomerKey for r in segmented.collect()) == [1, 2, 3, 4, 5]
     clusters = models.load_segments(job.path("models", "segment_clusters"))
-    # four customers, but only three different totals
-    assert sorted(c[0] for c in clusters.clusterCenters()) == [4.0, 7.0, 11.0]
+    # totals of the five customers: 11, 7, 4, 4 and 1
+    assert sorted(c[0] for c in clusters.clusterCenters()) == [1.0, 4.0, 7.0, 11.0]
 
     picks = scoring.score_customer(job.path("models", "recommender"), customers, 1, k=3)
     assert [(r.CustomerKey, r.rank) for r in picks.orderBy("rank").collect()] == [
         (1, 1), (1, 2), (1, 3)
     ]
-    assert scoring.score_customer(job.path("models", "recommender"), customers, 5).count() == 0
+    assert scoring.score_customer(job.path("models", "recommender"), customers, 99).count() == 0
 
 
 def test_command_line():
