@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql.types import (
     DoubleType,
     IntegerType,
+    IntegralType,
     NumericType,
     StringType,
     StructField,
@@ -47,11 +48,13 @@ class TableSpec:
 
 
 def check_defaults(schema: StructType, defaults: Mapping[str, object]) -> None:
-    """Refuse a default whose type differs from its column; Spark would skip it without a word."""
+    """Refuse a default that does not fit its column; Spark would skip or cut it without a word."""
     for column, value in defaults.items():
         data_type = schema[column].dataType
         if isinstance(data_type, StringType):
             fits = isinstance(value, str)
+        elif isinstance(data_type, IntegralType):
+            fits = type(value) is int
         else:
             fits = isinstance(data_type, NumericType) and type(value) in (int, float)
         if not fits:

@@ -80,11 +80,10 @@ def test_one_median_serves_repair_and_fill(spark, seed):
 
 
 def test_fill_refuses_a_default_of_another_type(spark):
-    df = spark.createDataFrame([(None, "x")], "n double, s string")
-    with pytest.raises(ValueError):
-        fill_missing(df, {"n": "1.0"})
-    with pytest.raises(ValueError):
-        fill_missing(df, {"s": 1})
+    df = spark.createDataFrame([(None, "x", None)], "n double, s string, i int")
+    for default in ({"n": "1.0"}, {"s": 1}, {"i": 1.5}):
+        with pytest.raises(ValueError):
+            fill_missing(df, default)
     assert fill_missing(df, {"n": 1.5}).first().n == 1.5
 
 
