@@ -1,6 +1,6 @@
 """Command line: ``run`` the whole job, or ``score`` with its models.
 
-    spark-submit --py-files spokewise.zip launcher.py run --input DIR --out DIR
+    spark-submit --py-files spokewise.zip submit.py run --input DIR --out DIR
     python -m spokewise score --out DIR sales 2023-10-09
 """
 

@@ -383,8 +383,9 @@ def customer_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def segment_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nearest-centre clusters on a line are intervals: four of them, none overlapping."""
+    totals = _stored_totals(spark, sf_dir)
     ranges = (
-        customer_segments(spark, sf_dir)
+        segments.assign_segments(segments.fit_segmentation(totals), totals)
         .groupBy("prediction")
         .agg(
             F.min("TotalPurchase").alias("low"),
@@ -411,19 +412,15 @@ def _stored_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored(star.ratings(spark, sf_dir), "ratings")
 
 
-def _recommender(spark: SparkSession, ratings: DataFrame):
-    """A model fitted to stored ratings, saved and loaded."""
-    model = recommend.fit_recommender(ratings)
-    return saved.load_recommender(save_model(model, fresh_path(spark, "recommender")))
-
-
 def top5_for_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = _recommender(spark, _stored_ratings(spark, sf_dir))
+    model = recommend.fit_recommender(_stored_ratings(spark, sf_dir))
     return recommend.ranked(recommend.recommend_to_all(model, 5))
 
 
 def top5_for_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = _recommender(spark, _stored_ratings(spark, sf_dir))
+    """The five best bikes for one customer by the saved and loaded recommender."""
+    fitted = recommend.fit_recommender(_stored_ratings(spark, sf_dir))
+    model = saved.load_recommender(save_model(fitted, fresh_path(spark, "recommender")))
     one = star.customers(spark, sf_dir).where(F.col("CustomerKey") == F.lit(ASKED_CUSTOMER))
     return recommend.ranked(recommend.recommend_to(model, one, 5))
 
@@ -431,7 +428,7 @@ def top5_for_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
 def recommendation_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every rated customer gets five distinct known bikes with falling scores."""
     ratings = _stored_ratings(spark, sf_dir)
-    lists = stored(recommend.recommend_to_all(_recommender(spark, ratings), 5), "lists")
+    lists = stored(recommend.recommend_to_all(recommend.fit_recommender(ratings), 5), "lists")
     known = ratings.select("BikeKey").distinct()
     strangers = recommend.ranked(lists).join(known, "BikeKey", "left_anti")
     scores = F.col("recommendations.rating")
@@ -452,7 +449,7 @@ def recommender_optimality(spark: SparkSession, sf_dir: str) -> DataFrame:
     sum((x.y - r) y) + lambda n x vanishes up to the precision of stored factors.
     """
     ratings = _stored_ratings(spark, sf_dir)
-    model = _recommender(spark, ratings)
+    model = recommend.fit_recommender(ratings)
     users = model.userFactors.select(
         F.col("id").alias("CustomerKey"), F.col("features").cast("array<double>").alias("x")
     )

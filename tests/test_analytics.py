@@ -216,6 +216,12 @@ def test_keys_beyond_int_are_refused(spark):
         recommend.fit_recommender(df)
 
 
+def test_a_key_too_hot_for_a_block_is_refused(ratings, monkeypatch):
+    monkeypatch.setattr(recommend, "MOST_RATINGS_PER_KEY", 20)
+    with pytest.raises(ValueError, match="too many for one block"):
+        recommend.fit_recommender(ratings)
+
+
 def test_hot_key_gives_the_same_totals(spark):
     """A third of all lines on one customer and one bike."""
     rows = spark.range(30_000).select(

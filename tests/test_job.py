@@ -2,7 +2,7 @@
 
 import pytest
 
-from spokewise.__main__ import parser
+from spokewise.__main__ import main, parser
 from spokewise.plans import retail, scoring
 from spokewise.schemas import TABLES
 from spokewise.sources import models
@@ -94,6 +94,15 @@ def test_scoring(spark, job):
     assert scoring.score_customer(job.path("models", "recommender"), customers, 99).count() == 0
 
 
+def test_scoring_from_the_command_line(job, capsys):
+    out = job[0].out
+    main(["score", "--out", out, "supply", "2023-10"])
+    main(["score", "--out", out, "segments"])
+    main(["score", "--out", out, "recommend", "2", "--k", "1"])
+    shown = capsys.readouterr().out
+    assert "|2023|10   |" in shown and "TotalPurchase" in shown and "|2          |1   |" in shown
+
+
 def test_command_line():
     args = parser().parse_args(
         ["run", "--input", "in", "--out", "o", "--jdbc-property", "user=u"]
