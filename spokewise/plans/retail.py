@@ -65,8 +65,8 @@ class RetailJob:
             rules = spec.rules
             if MALFORMED in rows.columns:
                 rules = (*rules, WellFormed(MALFORMED))
-            reports.append(audit.audit(rows, rules, name))
-            self.write(audit.violations(rows, rules), "quarantine", name)
+            broken = self.write(audit.violations(rows, rules), "quarantine", name)
+            reports.append(audit.audit_from_violations(broken, rows, rules, name))
         return self.write(audit.combine(reports), "audit")
 
     def analyse(self, recommender_blocks: int | None = None) -> None:

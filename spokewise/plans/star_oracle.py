@@ -179,6 +179,7 @@ ORACLE = {
       UNION ALL
       SELECT o_orderkey, OrderDate, 'OrderDate is d/M/y' AS rule FROM texts
       WHERE OrderDate IS NOT NULL AND try_strptime(OrderDate, '%d/%m/%Y') IS NULL""",
+    "q07c_date_audit_from_violations": DATE_REPORT,
     "q08_daily_sales": f"""WITH {DIRTY_LINES}
       SELECT strftime(d, '%Y-%m-%d') AS OrderDate, SUM(l_quantity) AS TotalSales
       FROM lines GROUP BY d""",

@@ -229,6 +229,13 @@ def date_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.violations(_date_texts(spark, sf_dir), DATE_RULES[:2])
 
 
+def date_audit_from_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same report counted from the rows set aside."""
+    texts = stored(_date_texts(spark, sf_dir), "order-dates")
+    broken = stored(audit.violations(texts, DATE_RULES), "quarantine")
+    return audit.audit_from_violations(broken, texts, DATE_RULES, "orders")
+
+
 # -- aggregates and joins ----------------------------------------------------------------------
 
 
@@ -492,6 +499,7 @@ QUERIES = {
     "q06b_audit_verdict": audit_verdict,
     "q07_date_audit": date_audit,
     "q07b_date_violations": date_violations,
+    "q07c_date_audit_from_violations": date_audit_from_violations,
     "q08_daily_sales": daily_sales,
     "q09_dated_daily_sales": dated_daily_sales,
     "q10_calendar_features": calendar,

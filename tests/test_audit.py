@@ -3,9 +3,15 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from spokewise.functions.rules import AtLeast, DateFormat, GreaterThan, InSet, Present
-from spokewise.operators.audit import audit, combine, verdict, violations
+from spokewise.operators.audit import (
+    audit,
+    audit_from_violations,
+    combine,
+    verdict,
+    violations,
+)
 from spokewise.schemas import BIKES, BIKESHOPS, CUSTOMERS, ORDERS
-from tests.retail_rows import frame
+from tests.retail_rows import ROWS, frame
 
 
 def failures(report):
@@ -69,6 +75,15 @@ def test_report_is_one_scan(spark, tmp_path):
     assert plan.split("Initial Plan")[0].count("FileScan parquet") == 1
 
 
+@pytest.mark.parametrize("name", ROWS)
+def test_report_from_violations_is_the_same(spark, name):
+    df, rules = frame(spark, name), ROWS[name][0].rules
+    again = audit_from_violations(violations(df, rules), df, rules, name)
+    direct = audit(df, rules, name)
+    assert again.dtypes == direct.dtypes
+    assert sorted(again.collect()) == sorted(direct.collect())
+
+
 def test_empty_table_passes(spark):
     report = audit(frame(spark, "bikes").where("false"), BIKES.rules, "bikes")
     assert all(r.passed and r.n_rows == 0 for r in report.collect())
