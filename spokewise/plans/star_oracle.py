@@ -186,6 +186,10 @@ ORACLE = {
     "q09_dated_daily_sales": f"""WITH {DIRTY_LINES}
       SELECT strftime(d, '%Y-%m-%d') AS OrderDate, SUM(l_quantity) AS TotalSales
       FROM lines WHERE d IS NOT NULL GROUP BY d""",
+    "q09b_daily_sales_without_total": f"""WITH {DIRTY_LINES},
+      daily AS (SELECT d, SUM(l_quantity) AS TotalSales FROM lines GROUP BY d)
+      SELECT strftime(d, '%Y-%m-%d') AS OrderDate, TotalSales FROM daily
+      WHERE TotalSales <> (SELECT TotalSales FROM daily WHERE d IS NULL)""",
     "q10_calendar_features": f"""WITH {LINES}
       SELECT DISTINCT strftime(d, '%Y-%m-%d') AS OrderDate, CAST(year(d) AS INTEGER) AS "Year",
         CAST(month(d) AS INTEGER) AS "Month", CAST(day(d) AS INTEGER) AS "Day",

@@ -250,6 +250,15 @@ def dated_daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return usable.select(_iso("OrderDate"), "TotalSales")
 
 
+def daily_sales_without_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group without a date removed by the value of its total, known from the table."""
+    totals = star.order_totals(spark, sf_dir, dirty=True)
+    daily = stored(sales.daily_sales(totals, LENIENT_DATE), "daily-sales")
+    undated = daily.where(F.col("OrderDate").isNull()).first().TotalSales
+    usable = sales.drop_unusable(daily, [], "TotalSales", unwanted=[undated])
+    return usable.select(_iso("OrderDate"), "TotalSales")
+
+
 def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     daily = sales.sales_features(sales.daily_sales(star.order_totals(spark, sf_dir)))
     vector = vector_to_array("features")
@@ -502,6 +511,7 @@ QUERIES = {
     "q07c_date_audit_from_violations": date_audit_from_violations,
     "q08_daily_sales": daily_sales,
     "q09_dated_daily_sales": dated_daily_sales,
+    "q09b_daily_sales_without_total": daily_sales_without_total,
     "q10_calendar_features": calendar,
     "q11_customer_totals": customer_totals,
     "q12_customers_with_totals": customers_with_totals,
