@@ -244,5 +244,8 @@ ORACLE = {
     "q21b_recommender_optimality": f"""WITH {TOTALS}
       SELECT COUNT(*) AS n_customers, CAST(0 AS BIGINT) AS n_off_optimum
       FROM customer JOIN totals ON c_custkey = CustomerKey""",
+    "q21d_recommender_by_sums": f"""WITH {TOTALS}
+      SELECT COUNT(*) AS n_customers, CAST(0 AS BIGINT) AS n_off_optimum
+      FROM customer JOIN totals ON c_custkey = CustomerKey""",
     "q23_publish_parquet": BIKESHOPS,
 }

@@ -160,9 +160,13 @@ def ratings(spark):
     return spark.createDataFrame(rows, "CustomerKey int, BikeKey int, Quantity double")
 
 
-@pytest.fixture(scope="module")
-def recommender(ratings):
-    return recommend.fit_recommender(ratings)
+@pytest.fixture(scope="module", params=["blocks", "sums"])
+def recommender(ratings, request):
+    """Fitted by MLlib, and as for a key too hot for a block."""
+    with pytest.MonkeyPatch.context() as patch:
+        if request.param == "sums":
+            patch.setattr(recommend, "MOST_RATINGS_PER_KEY", 20)
+        return recommend.fit_recommender(ratings)
 
 
 def factors(model):
@@ -216,10 +220,18 @@ def test_keys_beyond_int_are_refused(spark):
         recommend.fit_recommender(df)
 
 
-def test_a_key_too_hot_for_a_block_is_refused(ratings, monkeypatch):
-    monkeypatch.setattr(recommend, "MOST_RATINGS_PER_KEY", 20)
-    with pytest.raises(ValueError, match="too many for one block"):
-        recommend.fit_recommender(ratings)
+def test_both_fits_are_about_as_good(ratings):
+    rows = ratings.toPandas()
+
+    def error(model):
+        users, items = factors(model)
+        scores = [users[u] @ items[i] for u, i in zip(rows.CustomerKey, rows.BikeKey)]
+        return np.sqrt(np.mean((np.array(scores) - rows.Quantity) ** 2))
+
+    by_blocks = recommend.fit_recommender(ratings)
+    by_sums = recommend.fit_by_sums(ratings, recommend.als_settings())
+    assert by_sums.rank == 10 and by_sums.getUserCol() == "CustomerKey"
+    assert error(by_sums) < 1.15 * error(by_blocks)
 
 
 def test_hot_key_gives_the_same_totals(spark):
