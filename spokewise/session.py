@@ -14,9 +14,10 @@ MIB = 1 << 20
 def scale_settings(input_bytes: int, cores: int) -> dict[str, str]:
     """Runtime SQL settings for an input of ``input_bytes`` on ``cores`` task slots.
 
-    The shuffle starts with about one partition per GiB of input (AQE merges the small ones and
-    splits the skewed ones, aiming at the same size), never fewer than the cores and never so many that map x reduce blocks
-    swamp the shuffle service. Small inputs keep small splits so that every core has work.
+    The shuffle starts with about one partition per GiB of input, never fewer than the cores and
+    never so many that map x reduce blocks swamp the shuffle service; AQE merges the small ones and
+    splits the skewed ones towards one size. Small inputs keep small splits so that every core has
+    work.
     """
     partitions = max(cores, min(100_000, -(-input_bytes // GIB)))
     split = max(16 * MIB, min(GIB, input_bytes // max(1, 4 * cores)))

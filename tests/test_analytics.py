@@ -218,6 +218,8 @@ def test_keys_beyond_int_are_refused(spark):
     df = spark.createDataFrame(rows, "CustomerKey long, BikeKey long, Quantity double")
     with pytest.raises(Exception, match="CAST_OVERFLOW|range"):
         recommend.fit_recommender(df)
+    with pytest.raises(Exception, match="beyond the integer range"):
+        recommend.fit_by_sums(df, recommend.als_settings())
 
 
 def test_both_fits_are_about_as_good(ratings):
