@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spokewise.llm import decontaminate
+from spokewise.llm import chat, decontaminate, simhash
 from spokewise.llm.common import table
+from spokewise.session import stored
 
 
 def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,5 +24,25 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination,)}
+def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = stored(simhash.fingerprints(table(spark, sf_dir, "documents"), ["doc_id"]), "fingerprints")
+    return simhash.components(marked).select(
+        "doc_id",
+        F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
+        "component_id",
+    )
+
+
+def op7_chat_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    text = "</s>[INST] ok [/INST]"
+    known = spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], conversations.schema)
+    return chat.read_back(stored(chat.pieces(conversations.union(known)), "chat-pieces"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_benchmark_decontamination,
+    op2_simhash_near_dedup,
+    op7_chat_prefix_targets,
+)}
 ORACLE: dict[str, str] = {}
