@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spokewise.llm import chat, decontaminate, simhash
+from spokewise.llm import chat, decontaminate, simhash, toxicity
 from spokewise.llm.common import table
 from spokewise.session import stored
 
@@ -33,6 +33,19 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = toxicity.fit(documents, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(documents, model, ["doc_id"])
+    return scored.select(
+        "doc_id",
+        toxicity.held_out().alias("held_out"),
+        F.col("toxicity.score").alias("score"),
+        (F.col("toxicity.score") >= 0.5).cast("int").alias("predicted"),
+        F.size("toxicity.passages").cast("long").alias("n_passages"),
+    )
+
+
 def op7_chat_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     text = "</s>[INST] ok [/INST]"
@@ -43,6 +56,7 @@ def op7_chat_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_benchmark_decontamination,
     op2_simhash_near_dedup,
+    op3_toxicity,
     op7_chat_prefix_targets,
 )}
 ORACLE: dict[str, str] = {}
