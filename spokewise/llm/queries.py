@@ -5,11 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spokewise.llm import chat, decontaminate, simhash, toxicity
+from spokewise.llm import chat, decontaminate, packing, simhash, toxicity
 from spokewise.llm.common import table
 from spokewise.session import stored
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.decontaminate(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"]
@@ -46,6 +52,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op7_chat_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     text = "</s>[INST] ok [/INST]"
@@ -57,6 +67,7 @@ QUERIES = {f.__name__: f for f in (
     op1_benchmark_decontamination,
     op2_simhash_near_dedup,
     op3_toxicity,
+    op4_packing,
     op7_chat_prefix_targets,
 )}
 ORACLE: dict[str, str] = {}
