@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spokewise.llm import chat, decontaminate, packing, simhash, toxicity
+from spokewise.llm import chat, decontaminate, packing, phrases, simhash, suffixes, toxicity
 from spokewise.llm.common import table
 from spokewise.session import stored
 
@@ -63,11 +63,29 @@ def op7_chat_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(stored(chat.pieces(conversations.union(known)), "chat-pieces"))
 
 
+def op8_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = phrases.drop_repeated_passages(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op10_suffix_radix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffixes.drop_repeated_bytes(table(spark, sf_dir, "documents"))
+    return kept.select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES = {f.__name__: f for f in (
     op1_benchmark_decontamination,
     op2_simhash_near_dedup,
     op3_toxicity,
     op4_packing,
     op7_chat_prefix_targets,
+    op8_phrase_automata,
+    op10_suffix_radix,
 )}
 ORACLE: dict[str, str] = {}
