@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +29,13 @@ def row_key(id_column: str = "doc_id", text_column: str = "text") -> list[Column
     return [id_key(id_column).alias("k1"), F.xxhash64(F.col(text_column)).alias("k2")]
 
 
+def small_batches(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches small enough to take apart into Python objects at once."""
+    for batch in batches:
+        for begin in range(0, batch.num_rows, rows):
+            yield batch.slice(begin, rows)
+
+
 def runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends (exclusive) of the maximal stretches of True."""
     edge = np.flatnonzero(np.diff(np.concatenate(([0], mask.view(np.int8), [0]))))

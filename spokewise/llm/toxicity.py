@@ -36,6 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from spokewise.llm.common import small_batches
 from spokewise.llm.decontaminate import words_of
 
 BUCKETS = 1 << 19
@@ -48,7 +49,7 @@ LEAST_SEGMENT = 1.0
 #: Steps a unit in the histogram of word scores.
 STEPS = 20
 #: A worker forgets its word numbers beyond so many words.
-MOST_WORDS_KNOWN = 1 << 19
+MOST_WORDS_KNOWN = 1 << 18
 
 RESULT = T.StructType(
     [
@@ -134,7 +135,7 @@ def _counts(documents: DataFrame, sample: DataFrame) -> DataFrame:
             times = np.repeat(np.fromiter(counter.values(), np.int64, len(counter)), sizes)
             np.add.at(total[row], at, times)
 
-        for batch in batches:
+        for batch in small_batches(batches):
             texts, toxic = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for row, wanted in ((1, 1), (2, 0), (0, None)):
                 chosen = [t for t, y in zip(texts, toxic) if t and (y == wanted)]
@@ -173,7 +174,7 @@ def _histogram(documents: DataFrame, table: np.ndarray) -> tuple[np.ndarray, np.
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, total = WordScores(shared.value), Counter()
-        for batch in batches:
+        for batch in small_batches(batches):
             joined = b" ".join(t for t in batch.column(0).to_pylist() if t)
             for word, times in Counter(words_of(joined)).items():
                 total[round(known[word] * STEPS)] += times
