@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spokewise.llm import chat, decontaminate, packing, phrases, simhash, suffixes, toxicity
+from spokewise.llm import chat, decontaminate, packing, phrases, private, simhash, suffixes, toxicity
 from spokewise.llm.common import table
 from spokewise.session import stored
 
@@ -68,6 +68,19 @@ def op8_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op9_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = private.detect(table(spark, sf_dir, "documents"))
+    counts = [
+        F.size(private.of_kind(F.col("base"), k)).cast("long").alias(f"n_{k}") for k in private.KINDS
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(private.written(F.col("base")), 256).alias("base_sha256"),
+        private.written(private.in_kind_order(F.col("base"), F.col("added"))).alias("spans"),
+    )
+
+
 def op10_suffix_radix(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = suffixes.drop_repeated_bytes(table(spark, sf_dir, "documents"))
     return kept.select(
@@ -86,6 +99,7 @@ QUERIES = {f.__name__: f for f in (
     op4_packing,
     op7_chat_prefix_targets,
     op8_phrase_automata,
+    op9_private_data,
     op10_suffix_radix,
 )}
 ORACLE: dict[str, str] = {}
