@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spokewise.llm import chat, decontaminate, packing, phrases, private, simhash, suffixes, toxicity
+from spokewise.llm import chat, decontaminate, packing, phrases, private, simhash, suffixes, toxicity, vectors
 from spokewise.llm.common import table
 from spokewise.session import stored
 
@@ -56,6 +56,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op7_chat_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     text = "</s>[INST] ok [/INST]"
@@ -97,6 +101,7 @@ QUERIES = {f.__name__: f for f in (
     op2_simhash_near_dedup,
     op3_toxicity,
     op4_packing,
+    op5_embedding_near_dedup,
     op7_chat_prefix_targets,
     op8_phrase_automata,
     op9_private_data,
