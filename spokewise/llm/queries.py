@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spokewise.llm import chat, decontaminate, packing, phrases, private, simhash, suffixes, toxicity, vectors
+from spokewise.llm import chat, decontaminate, lines, packing, phrases, private, simhash, suffixes, toxicity, vectors
 from spokewise.llm.common import table
 from spokewise.session import stored
 
@@ -60,6 +60,11 @@ def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = lines.dedupe_lines(table(spark, sf_dir, "documents"), ["doc_id"])
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op7_chat_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     text = "</s>[INST] ok [/INST]"
@@ -102,6 +107,7 @@ QUERIES = {f.__name__: f for f in (
     op3_toxicity,
     op4_packing,
     op5_embedding_near_dedup,
+    op6_line_dedup,
     op7_chat_prefix_targets,
     op8_phrase_automata,
     op9_private_data,
