@@ -25,6 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spokewise.llm.common import small_batches
 from spokewise.session import stored
 
 LENGTH = 1024
@@ -81,8 +82,19 @@ def words_from(points: np.ndarray, kinds: np.ndarray) -> np.ndarray:
     return np.flatnonzero(start)
 
 
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: its own where it prints."""
+    prints = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in prints]
+    return {b: chr(b) for b in prints} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
 class Encoder:
-    """Token ids of texts; a word's ids are remembered, as words do not influence each other."""
+    """Token ids of texts; a word's ids are remembered, as words do not influence each other.
+
+    Texts that hold a special token, and tokenizers of another make than byte-level pairs, go through
+    the tokenizer whole.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -90,26 +102,30 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.width = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.kinds = character_kinds()
+        self.by_word = type(self.tokenizer.pre_tokenizer).__name__ == "ByteLevel" and not self.tokenizer.normalizer
+        self.kinds = character_kinds() if self.by_word else None
+        self.letters = "".join(byte_letters()[b] for b in range(256))
         self.known: dict[str, bytes] = {}
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype=self.width).tobytes() for e in found]
+    def _ids(self, word: str) -> bytes:
+        letters = word.encode().decode("latin-1").translate(self.letters)
+        return np.array([t.id for t in self.tokenizer.model.tokenize(letters)], dtype=self.width).tobytes()
 
     def encode(self, text: str) -> np.ndarray:
-        if any(s in text for s in self.special):
-            return np.frombuffer(self._ids([text])[0], self.width)
+        if not self.by_word or any(s in text for s in self.special):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.width)
         points = np.frombuffer(text.encode("utf-32-le"), "<u4")
         starts = words_from(points, self.kinds).tolist()
-        words = [text[a:b] for a, b in zip(starts, [*starts[1:], len(text)])]
-        new = list({w for w in words if w not in self.known})
-        if new:
-            if len(self.known) + len(new) > MOST_TOKENS_KNOWN:
-                self.known.clear()
-                new = list(set(words))
-            self.known.update(zip(new, self._ids(new)))
-        return np.frombuffer(b"".join(map(self.known.__getitem__, words)), self.width)
+        known, out = self.known, []
+        for a, b in zip(starts, [*starts[1:], len(text)]):
+            word = text[a:b]
+            ids = known.get(word)
+            if ids is None:
+                if len(known) >= MOST_TOKENS_KNOWN:
+                    known.clear()
+                known[word] = ids = self._ids(word)
+            out.append(ids)
+        return np.frombuffer(b"".join(out), self.width)
 
 
 def crc(ids: np.ndarray) -> int:
@@ -128,7 +144,7 @@ def tokenize(documents: DataFrame, tokenizer_path: str, length: int = LENGTH) ->
         part, seen = TaskContext.get().partitionId(), np.zeros(length, dtype=np.int64)
         names = ["doc_id", "start", "size", "crc", "doc_tokens", "part", "number", "ids"]
         kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
-        for batch in batches:
+        for batch in small_batches(batches):
             row, out = [], [[] for _ in kinds]
             for i, text in enumerate(batch.column(1).to_pylist()):
                 ids = np.append(encoder.encode(text or ""), np.array([END_ID], dtype=encoder.width))
