@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spokewise.llm.common import connected_components, expand, join_labels
+from spokewise.llm.common import connected_components, expand, id_key, join_labels
 from spokewise.session import stored
 
 SHINGLE = 3
@@ -238,3 +238,23 @@ def components(marked: DataFrame, radius: int = RADIUS) -> DataFrame:
     smallest = known.groupBy("component").agg(F.min("own").alias("component_id"))
     named = known.join(smallest, "component").select("fingerprint", "component_id")
     return marked.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
+
+
+def keep_one(documents: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """The documents without all but one of each component.
+
+    The one with the smallest id stays, of equal ids the first in the table; null counts as the
+    smallest id. ``documents`` must be a scan of files, whose order is the same in every pass.
+    """
+    placed = documents.select("text", id_key().alias("k1"), F.monotonically_increasing_id().alias("rid"))
+    marked = stored(fingerprints(placed, ["k1", "rid"], shingle), "fingerprints")
+    linked = near_duplicates(marked, radius)
+    place = F.struct("k1", "rid")
+    first = marked.groupBy("fingerprint").agg(F.min(place).alias("own"))
+    known = first.join(linked, "fingerprint", "left").withColumn("root", F.coalesce("component", "fingerprint"))
+    stays = known.groupBy("root").agg(F.min("own").alias("stays"))
+    chosen = known.join(stays, "root").select("fingerprint", "stays")
+    gone = marked.join(chosen, "fingerprint").where(place != F.col("stays")).select("rid")
+    own_names = documents.toDF(*(f"c{i}" for i in range(len(documents.columns))))
+    left = own_names.withColumn("rid", F.monotonically_increasing_id()).join(stored(gone, "removed"), "rid", "left_anti")
+    return left.drop("rid").toDF(*documents.columns)
