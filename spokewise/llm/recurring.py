@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spokewise.llm.common import id_key
+from spokewise.llm.common import id_key, small_batches
 from spokewise.session import stored
 
 BASE = 0x9E3779B97F4A7C15
@@ -30,10 +30,12 @@ BASE = 0x9E3779B97F4A7C15
 SEGMENT = 1 << 19
 #: Different regions of one anchor that are compared in memory; more are compared window by window.
 MOST_VARIANTS = 20_000
+#: Different regions that a task folds at a time, and their bytes.
+MOST_FOLDED, MOST_FOLDED_BYTES = 100_000, 32 << 20
 #: Windows that are compared at a time.
 CHUNK_WINDOWS = 40_000
 
-REGION = "h long, rh long, k1 long, rid long, lo long, n int, rel int, body binary"
+REGION = "h long, rh long, k1 long, rid long, lo long, n int, rel int, body binary, times int"
 COVER = "rid long, lo long, n int, h long, w1 long, w2 long, k1 long"
 
 
@@ -118,31 +120,63 @@ def _anchors(documents: DataFrame, units: Units) -> DataFrame:
 
 
 def _regions(documents: DataFrame, units: Units) -> DataFrame:
-    """Regions at recurring anchors; ``documents`` has their hashes in ``hs``."""
+    """Regions at recurring anchors; ``documents`` has their hashes in ``hs``.
+
+    A task folds the equal regions that it meets: the earliest goes on with their number, and the
+    others leave at once as rows without a body, under a key that spreads them.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = powers()
-        names = ["h", "rh", "k1", "rid", "lo", "n", "rel", "body"]
-        kinds = [pa.int64()] * 5 + [pa.int32()] * 2 + [pa.binary()]
-        for batch in batches:
-            out: list[list] = [[] for _ in names]
+        names = ["h", "rh", "k1", "rid", "lo", "n", "rel", "body", "times"]
+        kinds = [pa.int64()] * 5 + [pa.int32()] * 2 + [pa.binary(), pa.int32()]
+        folded: dict[tuple[int, int], list] = {}
+        size, out = 0, []
+
+        def batch_of(rows: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(zip(*rows), kinds)], names=names)
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            nonlocal size
+            whole = [(*key, *place, n, rel, body, times) for key, (place, n, rel, body, times) in folded.items()]
+            for begin in range(0, len(whole), 20_000):
+                yield batch_of(whole[begin : begin + 20_000])
+            folded.clear()
+            size = 0
+
+        for batch in small_batches(batches):
             rids, k1s = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             wanted = batch.column(3)
             for i, (rid, k1, body) in enumerate(zip(rids, k1s, batch.column(2).to_pylist())):
                 text = units.cut(body or b"")
                 h, lo, n, rel = regions_of(units.codes(text), units, table)
                 hs = wanted[i].values.to_numpy().view(np.uint64)
-                chosen = np.flatnonzero(np.isin(h, hs))
-                for a, b, c, d in zip(h[chosen].view(np.int64).tolist(), lo[chosen].tolist(), n[chosen].tolist(), rel[chosen].tolist()):
+                spread = xxhash.xxh64_intdigest(rid.to_bytes(8, "little")) - (1 << 63)
+                chosen = np.isin(h, hs)
+                columns = (h.view(np.int64)[chosen], lo[chosen], n[chosen], rel[chosen])
+                for a, b, c, d in zip(*(v.tolist() for v in columns)):
                     content = units.write(text, b, b + c - 1 + units.window)
-                    rh = xxhash.xxh64_intdigest(content, d) - (1 << 63)
-                    for column, value in zip(out, (a, rh, k1, rid, b, c, d, content)):
-                        column.append(value)
-                if len(out[0]) >= 20_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds)], names=names)
-                    out = [[] for _ in names]
-            if out[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds)], names=names)
+                    key, place = (a, xxhash.xxh64_intdigest(content, d) - (1 << 63)), (k1, rid, b)
+                    known = folded.get(key)
+                    if known is None or known[2] != d or known[3] != content:
+                        if known is None:
+                            folded[key] = [place, c, d, content, 1]
+                            size += len(content)
+                        else:  # another region with this hash goes on by itself
+                            out.append((*key, *place, c, d, content, 1))
+                        continue
+                    known[4] += 1
+                    later = max(place, known[0])
+                    known[0] = min(place, known[0])
+                    out.append((spread, 0, *later, c, 0, None, 0))
+            if len(out) >= 20_000:
+                yield batch_of(out)
+                out.clear()
+            if len(folded) > MOST_FOLDED or size > MOST_FOLDED_BYTES:
+                yield from flush()
+        yield from flush()
+        if out:
+            yield batch_of(out)
 
     return documents.select("rid", "k1", "body", "hs").mapInArrow(run, REGION)
 
@@ -160,7 +194,7 @@ def covered(
 ) -> DataFrame:
     """(rid, lo, n): windows lo, lo + 1, ... of a document that recur.
 
-    Equal regions are folded as they stream by: with ``keep_first`` every one but the first is
+    Equal regions of different tasks are folded as they stream by: with ``keep_first`` every one but the first is
     covered, else all of them. ``compare`` takes groups of the different regions of one anchor,
     each (k1, rid, lo, n, rel, body, times), and yields (rid, lo, n). The regions of an anchor that
     has more than ``MOST_VARIANTS`` different ones go through as single windows and are compared
@@ -209,8 +243,11 @@ def covered(
                 waiting += sum(r[3] for r in group)
             group, crowded = [], False
 
-        for batch in batches:
-            for h, rh, k1, rid, lo, n, rel, body in zip(*(c.to_pylist() for c in batch.columns)):
+        for batch in small_batches(batches, 2000):
+            for h, rh, k1, rid, lo, n, rel, body, copies in zip(*(c.to_pylist() for c in batch.columns)):
+                if body is None:  # folded before
+                    out.append((rid, lo, n, None, None, None, None))
+                    continue
                 if h != group_h:
                     end_group()
                     group_h, run_rh = h, None
@@ -218,11 +255,11 @@ def covered(
                         out.extend((*c, None, None, None, None) for c in compare(ready, units))
                         ready, waiting = [], 0
                 if rh == run_rh and rep is not None and rep[5] == body and rep[4] == rel:
-                    times += 1
+                    times += copies
                     out.append((rid, lo, n, None, None, None, None))
                 else:
                     end_run()
-                    run_rh, rep, times = rh, (k1, rid, lo, n, rel, body), 1
+                    run_rh, rep, times = rh, (k1, rid, lo, n, rel, body), copies
                 if len(out) >= 50_000:
                     yield batch_of(out)
                     out.clear()
