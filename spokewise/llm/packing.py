@@ -186,14 +186,14 @@ def _price(prices: np.ndarray, sizes: np.ndarray, length: int) -> tuple[float, n
     return float(value[length]), pattern
 
 
-def _first_columns(sizes: np.ndarray, demand: np.ndarray, length: int) -> np.ndarray:
-    """A feasible basis: full sequences, each step using up one size.
+def _first_columns(sizes: np.ndarray, demand: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """A feasible basis of full sequences, and its inverse; each step uses up one size.
 
     The largest size left is filled up by one size, two sizes, or else the fullest knapsack of what is
     left. No later column has the size that a column uses up, so the basis is triangular.
     """
     m, left = len(sizes), demand.copy()
-    basis, at = np.zeros((m, m)), np.full(length + 1, -1)
+    basis, inverse, at = np.zeros((m, m)), np.eye(m), np.full(length + 1, -1)
     at[sizes] = np.arange(m)
     for step in range(m):
         there = np.flatnonzero(left > 0)
@@ -220,10 +220,25 @@ def _first_columns(sizes: np.ndarray, demand: np.ndarray, length: int) -> np.nda
         out = used[int(times.argmin())]
         left[used] = np.maximum(left[used] - times.min() * column[used], 0)
         left[out] = 0
-        basis[:, step] = column
+        basis[:, out] = column
+        _exchange(inverse, _applied(inverse, column), out)
         emptied = used[left[used] <= 1e-9]
         left[emptied[emptied != out]] = 1e-7  # keeps its own column, of nearly nothing
-    return basis
+    return basis, inverse
+
+
+def _applied(inverse: np.ndarray, column: np.ndarray) -> np.ndarray:
+    """inverse @ column for a column of few entries; small sums need no threads of a linear-algebra library."""
+    used = np.flatnonzero(column)
+    return (inverse[:, used] * column[used]).sum(axis=1)
+
+
+def _exchange(inverse: np.ndarray, change: np.ndarray, leave: int) -> None:
+    """Update the inverse, in place, for a basis column replaced by one that ``change`` comes from."""
+    row = inverse[leave] / change[leave]
+    rows = np.flatnonzero(change)
+    inverse[rows] -= change[rows, None] * row
+    inverse[leave] = row
 
 
 def patterns(histogram: dict[int, int], length: int = LENGTH, steps: int = MOST_STEPS) -> list[tuple[dict[int, int], int]]:
@@ -232,9 +247,8 @@ def patterns(histogram: dict[int, int], length: int = LENGTH, steps: int = MOST_
     if not len(sizes):
         return []
     demand = np.array([histogram[int(s)] for s in sizes], dtype=float)
-    basis = _first_columns(sizes, demand, length)
-    inverse = np.linalg.inv(basis)
-    amount = inverse @ demand
+    basis, inverse = _first_columns(sizes, demand, length)
+    amount = (inverse * demand).sum(axis=1)
     bound = (sizes * demand).sum() / length
     for _ in range(steps):
         if amount.sum() <= bound * (1 + GAP):
@@ -242,16 +256,14 @@ def patterns(histogram: dict[int, int], length: int = LENGTH, steps: int = MOST_
         value, column = _price(inverse.sum(axis=0), sizes, length)
         if value <= 1 + 1e-9:
             break
-        change = inverse @ column
+        change = _applied(inverse, column)
         ratio = np.full(len(sizes), np.inf)
         up = change > 1e-9
         ratio[up] = np.maximum(amount[up], 0) / change[up]
         leave = int(ratio.argmin())
         basis[:, leave] = column
-        row = inverse[leave] / change[leave]
-        inverse -= change[:, None] * row
-        inverse[leave] = row
-        amount = inverse @ demand
+        _exchange(inverse, change, leave)
+        amount = (inverse * demand).sum(axis=1)
     out, left = [], demand.copy()
     for k in np.argsort(-amount, kind="stable"):
         column = basis[:, k]
