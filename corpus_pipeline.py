@@ -27,11 +27,11 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their texts without lines that occur, nearly or exactly, earlier."""
-    done = lines.dedupe_lines(docs, docs.columns)
+    done = lines.dedupe_lines(docs, docs.columns, counts=("__lines", "__lost"))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         length = F.char_length("text").cast(kind)
-        done = done.withColumn("n_chars", F.when(F.col("n_removed") > 0, length).otherwise(F.col("n_chars")))
+        done = done.withColumn("n_chars", F.when(F.col("__lost") > 0, length).otherwise(F.col("n_chars")))
     return done.select(docs.columns)
 
 

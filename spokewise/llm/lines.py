@@ -370,13 +370,15 @@ def line_classes(rows: DataFrame, occurrences: DataFrame, edits: int = EDITS) ->
     return connected_components(edges, "line-components")
 
 
-def dedupe_lines(documents: DataFrame, keep: list[str], edits: int = EDITS) -> DataFrame:
+def dedupe_lines(
+    documents: DataFrame, keep: list[str], edits: int = EDITS, counts: tuple[str, str] = ("n_lines", "n_removed")
+) -> DataFrame:
     """The columns ``keep`` of every document, its text without repeated lines, and the counts.
 
-    ``text`` is replaced; ``n_lines`` and ``n_removed`` are added, or replace kept columns of these
-    names.
+    ``text`` is replaced; the columns named by ``counts``, lines before and lines lost, are added, or
+    replace kept columns of these names.
     """
-    keep = [c for c in keep if c not in ("text", "n_lines", "n_removed")]
+    keep = [c for c in keep if c not in ("text", *counts)]
     kept = [F.col(c).alias(f"keep_{i}") for i, c in enumerate(keep)]
     place = [F.monotonically_increasing_id().alias("rid"), id_key().alias("k1")]
     rows = documents.select(*place, F.col("text").cast("string").alias("text"), *kept)
@@ -406,4 +408,4 @@ def dedupe_lines(documents: DataFrame, keep: list[str], edits: int = EDITS) -> D
     joined = rows.join(gone, "rid", "left").select("text", "gone", *(f"keep_{i}" for i in range(len(keep))))
     fields = [f"keep_{i} {documents.schema[c].dataType.simpleString()}" for i, c in enumerate(keep)]
     done = joined.mapInArrow(run, ", ".join([*fields, "text string", "n_lines long", "n_removed long"]))
-    return done.toDF(*keep, "text", "n_lines", "n_removed")
+    return done.toDF(*keep, "text", *counts)

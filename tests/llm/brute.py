@@ -58,10 +58,14 @@ def simhash(text, shingle=3):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def simhash_components(docs, radius=2):
+def simhash_classes(docs, radius=2):
     prints = [simhash(t) for _, t in docs]
     pairs = [(i, j) for i in range(len(docs)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= radius]
-    label = classes(len(docs), pairs)
+    return prints, classes(len(docs), pairs)
+
+
+def simhash_components(docs, radius=2):
+    prints, label = simhash_classes(docs, radius)
     out = []
     for (d, _), p, c in zip(docs, prints, label):
         ids = [docs[k][0] for k in range(len(docs)) if label[k] == c and docs[k][0] is not None]
