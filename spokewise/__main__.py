@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import argparse
 
+from spokewise.operators import recommend
 from spokewise.plans import retail, scoring
 from spokewise.schemas import TABLES
 from spokewise.session import build_session, scale_settings
@@ -26,8 +27,13 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--table", action="append", default=[], metavar="NAME=PATH")
     job.add_argument("--format", default="csv", choices=("csv", "parquet"))
     job.add_argument("--out", required=True, help="shared folder for tables, reports and models")
-    job.add_argument("--input-bytes", type=int, help="input size, to set shuffle partitions")
-    job.add_argument("--cores", type=int, default=8, help="task slots of the cluster")
+    job.add_argument(
+        "--input-bytes", type=int, required=True, help="input size, to set shuffle partitions"
+    )
+    job.add_argument("--cores", type=int, required=True, help="task slots of the cluster")
+    job.add_argument("--from-step", default=retail.STEPS[0], choices=retail.STEPS)
+    job.add_argument("--recommender", default="blocks", choices=("blocks", "sums"))
+    job.add_argument("--recommender-blocks", type=int, default=recommend.BLOCKS)
     job.add_argument("--jdbc-url")
     job.add_argument("--jdbc-property", action="append", default=[], metavar="KEY=VALUE")
     job.add_argument("--jdbc-connections", type=int, default=16)
@@ -45,8 +51,7 @@ def parser() -> argparse.ArgumentParser:
 
 
 def run(args: argparse.Namespace) -> None:
-    settings = scale_settings(args.input_bytes, args.cores) if args.input_bytes else {}
-    spark = build_session("spokewise", settings)
+    spark = build_session("spokewise", scale_settings(args.input_bytes, args.cores))
     inputs = {name: f"{args.input}/{name}.{args.format}" for name in TABLES} if args.input else {}
     inputs |= _pairs(args.table)
     database = None
@@ -54,7 +59,16 @@ def run(args: argparse.Namespace) -> None:
         database = retail.Database(
             args.jdbc_url, _pairs(args.jdbc_property), args.jdbc_connections
         )
-    report = retail.run(spark, inputs, args.out, args.format, database)
+    report = retail.run(
+        spark,
+        inputs,
+        args.out,
+        args.format,
+        database,
+        args.recommender,
+        args.recommender_blocks,
+        args.from_step,
+    )
     report.show(100, truncate=False)
 
 

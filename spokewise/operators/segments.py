@@ -51,15 +51,22 @@ def fit_segmentation(
 ) -> PipelineModel:
     """Feature steps and K-Means as one model, so that scoring uses the training's scaler.
 
-    ``cluster_on`` chooses the raw vector, ``scaledFeatures`` or ``pcaFeatures``. Only the feature
+    ``cluster_on`` chooses the raw vector, ``scaledFeatures`` or ``pcaFeatures``; only the steps that
+    it needs are fitted. Only the feature
     columns enter the fit; the estimators pass over the input several times, so give it a stored
     table when the totals are costly.
     """
     kmeans = KMeans(k=k, seed=seed, featuresCol=cluster_on, predictionCol="prediction")
-    stages = [*feature_steps(columns, components), kmeans]
+    steps = {"features": 1, "scaledFeatures": 2}.get(cluster_on, 3)
+    stages = [*feature_steps(columns, components)[:steps], kmeans]
     return Pipeline(stages=stages).fit(df.select(*columns))
 
 
+def assemble_totals(customers: DataFrame) -> DataFrame:
+    """The totals as the vector that clusters saved alone are applied to."""
+    return feature_steps()[0].transform(customers)
+
+
 def assign_segments(model: PipelineModel, customers: DataFrame) -> DataFrame:
     """Customer, total and segment number."""
     return model.transform(customers).select("CustomerKey", "TotalPurchase", "prediction")

@@ -17,6 +17,7 @@ from spokewise.sources.tables import read_table
 
 # Column of the stored tables that keeps lines the reader could not make sense of.
 MALFORMED = "malformed_line"
+STEPS = ("clean", "audit", "analyse", "publish")
 
 
 @dataclass(frozen=True)
@@ -47,12 +48,18 @@ class RetailJob:
         return self.spark.read.schema(df.schema).parquet(self.path(*parts))
 
     def cleaned(self, name: str) -> DataFrame:
-        """A cleaned table in its declared columns."""
+        """A cleaned table in its declared columns, without the lines that could not be read."""
         table = self.spark.read.parquet(self.path("clean", name))
+        if MALFORMED in table.columns:
+            table = table.where(F.col(MALFORMED).isNull())
         return table.select(*TABLES[name].schema.names)
 
     def clean(self, inputs: Mapping[str, str], file_format: str = "csv") -> None:
-        """Read and clean the tables. Lines that could not be read stay, and are marked."""
+        """Read and clean the tables.
+
+        Lines that could not be read are kept with a mark: the audit counts them and sets them
+        aside, and ``cleaned`` leaves them out.
+        """
         for name, spec in TABLES.items():
             rows = read_table(self.spark, spec, inputs[name], file_format, MALFORMED)
             self.write(cleanse.clean(rows, spec), "clean", name)
@@ -69,7 +76,8 @@ class RetailJob:
             reports.append(audit.audit_from_violations(broken, rows, rules, name))
         return self.write(audit.combine(reports), "audit")
 
-    def analyse(self, recommender_blocks: int | None = None) -> None:
+    def analyse(self, method: str = "blocks", blocks: int = recommend.BLOCKS) -> None:
+        """Reports and models; ``method`` and ``blocks`` are those of the recommender."""
         orders = self.cleaned("orders")
         date_format = TABLES["orders"].date_formats["OrderDate"]
         customers, bikes = self.cleaned("customers"), self.cleaned("bikes")
@@ -99,7 +107,7 @@ class RetailJob:
         ratings = self.write(
             recommend.rating_triples(orders, customers, bikes), "reports", "ratings"
         )
-        self.save(recommend.fit_recommender(ratings, recommender_blocks), "recommender")
+        self.save(recommend.fit_recommender(ratings, method, blocks), "recommender")
 
     def save(self, model, name: str) -> None:
         save_model(model, self.path("models", name))
@@ -121,12 +129,23 @@ def run(
     out: str,
     file_format: str = "csv",
     database: Database | None = None,
+    method: str = "blocks",
+    blocks: int = recommend.BLOCKS,
+    from_step: str = STEPS[0],
 ) -> DataFrame:
-    """Run all steps and return the audit report. ``inputs`` maps table names to paths."""
+    """Run the steps and return the audit report. ``inputs`` maps table names to paths.
+
+    ``from_step`` takes up a failed job: earlier steps' results are read from ``out``.
+    """
     job = RetailJob(spark, out)
-    job.clean(inputs, file_format)
-    report = job.audit()
-    job.analyse()
+    first = STEPS.index(from_step)
+    if first <= STEPS.index("clean"):
+        job.clean(inputs, file_format)
+    if first <= STEPS.index("audit"):
+        job.audit()
+    if first <= STEPS.index("analyse"):
+        job.analyse(method, blocks)
     if database:
         job.publish(database)
+    report = spark.read.parquet(job.path("audit"))
     return report.orderBy(F.col("passed"), "table", "rule")

@@ -234,13 +234,23 @@ ORACLE = {
       FROM monthly, fit""",
     "q19_segment_invariants": f"""WITH {TOTALS}
       SELECT COUNT(*) AS n_customers, CAST(4 AS BIGINT) AS n_segments,
-        CAST(0 AS BIGINT) AS n_overlaps
+        CAST(0 AS BIGINT) AS n_overlaps, CAST(0 AS BIGINT) AS n_far,
+        CAST(0 AS BIGINT) AS n_off_mean
+      FROM customer JOIN totals ON c_custkey = CustomerKey""",
+    "q20_customer_segments": f"""WITH {TOTALS}
+      SELECT COUNT(*) AS n_customers, CAST(0 AS BIGINT) AS n_disagreements,
+        CAST(0 AS BIGINT) AS n_far
       FROM customer JOIN totals ON c_custkey = CustomerKey""",
     "q21_recommendation_invariants": f"""WITH {TOTALS}
       SELECT COUNT(*) AS n_customers, 5 * COUNT(*) AS n_recommendations,
         CAST(0 AS BIGINT) AS n_wrong_lists, CAST(0 AS BIGINT) AS n_unsorted,
         CAST(0 AS BIGINT) AS n_unknown_bikes
-      FROM customer JOIN totals ON c_custkey = CustomerKey""",
+      FROM customer JOIN totals ON c_custkey = CustomerKey WHERE CustomerKey % 100 = 0""",
+    "q22_top5_for_customer": f"""WITH {TOTALS}
+      SELECT COUNT(*) AS n_lists, 5 * COUNT(*) AS n_places, 5 * COUNT(*) AS n_bikes,
+        CAST(0 AS BIGINT) AS n_wrong_scores, CAST(0 AS BIGINT) AS n_unsorted,
+        CAST(0 AS BIGINT) AS n_left_out, CAST(0 AS BIGINT) AS n_unknown
+      FROM customer JOIN totals ON c_custkey = CustomerKey WHERE CustomerKey = 12""",
     "q21b_recommender_optimality": f"""WITH {TOTALS}
       SELECT COUNT(*) AS n_customers, CAST(0 AS BIGINT) AS n_off_optimum
       FROM customer JOIN totals ON c_custkey = CustomerKey""",

@@ -34,6 +34,7 @@ from spokewise.sources.tables import read_csv, read_headerless_csv, read_parquet
 # The day and the customer that scoring asks about.
 ASKED_DAY = (2023, 10, 9)
 ASKED_CUSTOMER = 12
+UNKNOWN_CUSTOMER = 2_000_000_000
 
 
 def _rounded(column, digits: int):
@@ -254,8 +255,8 @@ def daily_sales_without_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The group without a date removed by the value of its total, known from the table."""
     totals = star.order_totals(spark, sf_dir, dirty=True)
     daily = stored(sales.daily_sales(totals, LENIENT_DATE), "daily-sales")
-    undated = daily.where(F.col("OrderDate").isNull()).first().TotalSales
-    usable = sales.drop_unusable(daily, [], "TotalSales", unwanted=[undated])
+    undated = daily.where(F.col("OrderDate").isNull()).agg(F.max("TotalSales")).scalar()
+    usable = daily.where(F.col("TotalSales").isNotNull() & ~F.col("TotalSales").eqNullSafe(undated))
     return usable.select(_iso("OrderDate"), "TotalSales")
 
 
@@ -390,25 +391,53 @@ def supply_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _off_centre(assigned: DataFrame, centres: list[float]) -> list:
+    """Customers whose centre is not the nearest, and centres that are not their customers' mean."""
+    distances = [F.abs(F.col("TotalPurchase") - c) for c in centres]
+    chosen = F.element_at(F.array(*distances), F.col("prediction") + 1)
+    gap = F.element_at(F.array(*map(F.lit, centres)), F.col("prediction") + 1)
+    means = (
+        assigned.groupBy("prediction")
+        .agg(F.avg("TotalPurchase").alias("mean"), F.first(gap).alias("centre"))
+        .agg(F.count_if(F.abs(F.col("mean") - F.col("centre")) > 1e-6 * F.abs(F.col("centre"))))
+    )
+    far = F.count_if(chosen > F.least(*distances) + 1e-9)
+    return [far.alias("n_far"), means.scalar().alias("n_off_mean")]
+
+
+def _centres(model) -> list[float]:
+    return [float(c[0]) for c in model.clusterCenters()]
+
+
 def customer_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Segment of every customer by the saved and loaded segmentation."""
+    """Every customer's segment by the loaded segmentation and by the loaded clusters: the same."""
     totals = _stored_totals(spark, sf_dir)
-    path = save_model(segments.fit_segmentation(totals), fresh_path(spark, "segmentation"))
-    return segments.assign_segments(saved.load_segmentation(path), totals)
+    fitted = segments.fit_segmentation(totals)
+    path = save_model(fitted, fresh_path(spark, "segmentation"))
+    clusters = saved.load_segments(save_model(fitted.stages[-1], fresh_path(spark, "clusters")))
+    whole = segments.assign_segments(saved.load_segmentation(path), totals)
+    alone = clusters.transform(segments.assemble_totals(totals)).select(
+        "CustomerKey", F.col("prediction").alias("again")
+    )
+    both = stored(whole.join(alone, "CustomerKey"), "segments")
+    return both.agg(
+        F.count("*").alias("n_customers"),
+        F.count_if(F.col("prediction") != F.col("again")).alias("n_disagreements"),
+        _off_centre(both, _centres(clusters))[0],
+    )
 
 
 def segment_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nearest-centre clusters on a line are intervals: four of them, none overlapping."""
+    """Four clusters: intervals that do not overlap, nearest centres, centres at the means."""
     totals = _stored_totals(spark, sf_dir)
-    ranges = (
-        segments.assign_segments(segments.fit_segmentation(totals), totals)
-        .groupBy("prediction")
-        .agg(
-            F.min("TotalPurchase").alias("low"),
-            F.max("TotalPurchase").alias("high"),
-            F.count("*").alias("n"),
-        )
+    model = segments.fit_segmentation(totals)
+    assigned = stored(segments.assign_segments(model, totals), "segments")
+    ranges = assigned.groupBy("prediction").agg(
+        F.min("TotalPurchase").alias("low"),
+        F.max("TotalPurchase").alias("high"),
+        F.count("*").alias("n"),
     )
+    far, off_mean = _off_centre(assigned, _centres(model.stages[-1]))
     ordered = ranges.agg(
         F.sum("n").alias("n_customers"),
         F.count("*").alias("n_segments"),
@@ -420,7 +449,11 @@ def segment_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     overlapping = F.filter(neighbours, lambda x: x["high"] >= x["low"])
     return ordered.select(
-        "n_customers", "n_segments", F.size(overlapping).cast("long").alias("n_overlaps")
+        "n_customers",
+        "n_segments",
+        F.size(overlapping).cast("long").alias("n_overlaps"),
+        assigned.agg(far).scalar().alias("n_far"),
+        off_mean,
     )
 
 
@@ -428,23 +461,51 @@ def _stored_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored(star.ratings(spark, sf_dir), "ratings")
 
 
-def top5_for_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = recommend.fit_recommender(_stored_ratings(spark, sf_dir))
-    return recommend.ranked(recommend.recommend_to_all(model, 5))
-
-
 def top5_for_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The five best bikes for one customer by the saved and loaded recommender."""
-    fitted = recommend.fit_recommender(_stored_ratings(spark, sf_dir))
+    """The five best bikes for one known and one unknown customer, by the loaded recommender.
+
+    One row of counts: lists, places, distinct bikes, places whose score is not the product of the
+    factors, places out of order, bikes with a better score that were left out, and places of the
+    unknown customer.
+    """
+    ratings = _stored_ratings(spark, sf_dir)
+    fitted = recommend.fit_recommender(ratings)
     model = saved.load_recommender(save_model(fitted, fresh_path(spark, "recommender")))
-    one = star.customers(spark, sf_dir).where(F.col("CustomerKey") == F.lit(ASKED_CUSTOMER))
-    return recommend.ranked(recommend.recommend_to(model, one, 5))
+    known = star.customers(spark, sf_dir).where(F.col("CustomerKey") == F.lit(ASKED_CUSTOMER))
+    unknown = rows_as_table(spark, [(UNKNOWN_CUSTOMER,)], "CustomerKey long")
+    asked = known.select(F.col("CustomerKey").cast("long")).union(unknown)
+    lists = stored(recommend.recommend_to(model, asked, 5), "lists")
+    mine = model.userFactors.where(F.col("id") == F.lit(ASKED_CUSTOMER)).select("features")
+    products = F.zip_with("features", "mine", lambda a, b: a.cast("double") * b.cast("double"))
+    scored = model.itemFactors.withColumn("mine", mine.scalar()).select(
+        F.col("id").alias("BikeKey"),
+        F.aggregate(products, F.lit(0.0), lambda total, v: total + v).alias("product"),
+    )
+    places = recommend.ranked(lists)
+    judged = places.join(scored, "BikeKey", "left")
+    wrong = ~(F.abs(F.col("score") - F.col("product")) <= 1e-4 * (1 + F.abs(F.col("product"))))
+    last = places.agg(F.min("score")).scalar()
+    better = scored.where(F.col("product") > last + 1e-4).join(places, "BikeKey", "left_anti")
+    scores = F.col("recommendations.rating")
+    return judged.agg(
+        lists.agg(F.count("*")).scalar().alias("n_lists"),
+        F.count("*").alias("n_places"),
+        F.count_distinct("BikeKey").alias("n_bikes"),
+        F.count_if(F.coalesce(wrong, F.lit(True))).alias("n_wrong_scores"),
+        lists.agg(F.count_if(F.sort_array(scores, asc=False) != scores)).scalar().alias("n_unsorted"),
+        better.agg(F.count("*")).scalar().alias("n_left_out"),
+        F.count_if(F.col("CustomerKey") == UNKNOWN_CUSTOMER).alias("n_unknown"),
+    )
 
 
 def recommendation_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every rated customer gets five distinct known bikes with falling scores."""
+    """Customers that are asked about get five distinct known bikes with falling scores.
+
+    Asked are those whose key divides by 100; bikes for all customers would cost customers x bikes.
+    """
     ratings = _stored_ratings(spark, sf_dir)
-    lists = stored(recommend.recommend_to_all(recommend.fit_recommender(ratings), 5), "lists")
+    asked = star.customers(spark, sf_dir).where(F.col("CustomerKey") % 100 == 0)
+    lists = stored(recommend.recommend_to(recommend.fit_recommender(ratings), asked, 5), "lists")
     known = ratings.select("BikeKey").distinct()
     strangers = recommend.ranked(lists).join(known, "BikeKey", "left_anti")
     scores = F.col("recommendations.rating")
@@ -466,7 +527,7 @@ def recommender_optimality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def recommender_by_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same check for the fit that serves keys too hot for a factor block."""
     ratings = _stored_ratings(spark, sf_dir)
-    return _off_optimum(ratings, recommend.fit_by_sums(ratings, recommend.als_settings()))
+    return _off_optimum(ratings, recommend.fit_recommender(ratings, method="sums"))
 
 
 def _off_optimum(ratings: DataFrame, model) -> DataFrame:
@@ -539,7 +600,6 @@ QUERIES = {
     "q20_customer_segments": customer_segments,
     "q21_recommendation_invariants": recommendation_invariants,
     "q21b_recommender_optimality": recommender_optimality,
-    "q21c_top5_for_all": top5_for_all,
     "q21d_recommender_by_sums": recommender_by_sums,
     "q22_top5_for_customer": top5_for_customer,
     "q23_publish_parquet": publish_parquet,

@@ -9,6 +9,7 @@ from pyspark.sql.types import (
     DoubleType,
     IntegerType,
     IntegralType,
+    LongType,
     NumericType,
     StringType,
     StructField,
@@ -107,7 +108,7 @@ CUSTOMER_DEFAULTS = {
 BIKES = TableSpec(
     name="bikes",
     schema=_table(
-        BikeKey=IntegerType(),
+        BikeKey=LongType(),
         BikeModel=StringType(),
         BikeCategory1=StringType(),
         BikeCategory2=StringType(),
@@ -129,7 +130,7 @@ BIKES = TableSpec(
 BIKESHOPS = TableSpec(
     name="bikeshops",
     schema=_table(
-        BikeshopKey=IntegerType(),
+        BikeshopKey=LongType(),
         BikeshopName=StringType(),
         BikeshopCity=StringType(),
         BikeshopState=StringType(),
@@ -143,11 +144,11 @@ BIKESHOPS = TableSpec(
 ORDERS = TableSpec(
     name="orders",
     schema=_table(
-        OrderKey=IntegerType(),
-        OrderId=IntegerType(),
-        OrderLine=IntegerType(),
-        CustomerKey=IntegerType(),
-        BikeKey=IntegerType(),
+        OrderKey=LongType(),
+        OrderId=LongType(),
+        OrderLine=LongType(),
+        CustomerKey=LongType(),
+        BikeKey=LongType(),
         Quantity=IntegerType(),
         OrderDate=StringType(),
     ),
@@ -169,7 +170,7 @@ ORDERS = TableSpec(
 CUSTOMERS = TableSpec(
     name="customers",
     schema=_table(
-        CustomerKey=IntegerType(),
+        CustomerKey=LongType(),
         Prefix=StringType(),
         FirstName=StringType(),
         LastName=StringType(),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,16 +35,27 @@ def read_csv(
 
 
 def read_headerless_csv(
-    spark: SparkSession, path: str, schema: StructType | None = None
+    spark: SparkSession,
+    path: str,
+    schema: StructType | None = None,
+    corrupt_column: str | None = None,
 ) -> DataFrame:
-    """CSV without a header: text columns ``_c0, _c1, ...``, or named and cast by ``schema``."""
+    """CSV without a header: text columns ``_c0, _c1, ...``, or named and cast by ``schema``.
+
+    A value that is not of its column's type becomes null, and ``corrupt_column``, if named, keeps
+    the line's values where that happened.
+    """
     if schema is None:
         return spark.read.csv(path)
     text = StructType([StructField(f"_c{i}", StringType()) for i in range(len(schema.fields))])
     rows = spark.read.schema(text).csv(path)
-    return rows.select(
-        *[F.col(f"_c{i}").cast(f.dataType).alias(f.name) for i, f in enumerate(schema.fields)]
-    )
+    casts = [F.col(f"_c{i}").try_cast(f.dataType) for i, f in enumerate(schema.fields)]
+    columns = [c.alias(f.name) for c, f in zip(casts, schema.fields)]
+    if corrupt_column:
+        lost = [F.col(f"_c{i}").isNotNull() & c.isNull() for i, c in enumerate(casts)]
+        line = F.to_csv(F.struct(*[f"_c{i}" for i in range(len(casts))]))
+        columns.append(F.when(reduce(lambda a, b: a | b, lost), line).alias(corrupt_column))
+    return rows.select(*columns)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:

@@ -162,11 +162,8 @@ def ratings(spark):
 
 @pytest.fixture(scope="module", params=["blocks", "sums"])
 def recommender(ratings, request):
-    """Fitted by MLlib, and as for a key too hot for a block."""
-    with pytest.MonkeyPatch.context() as patch:
-        if request.param == "sums":
-            patch.setattr(recommend, "MOST_RATINGS_PER_KEY", 20)
-        return recommend.fit_recommender(ratings)
+    """Fitted by MLlib's blocks, and by sums."""
+    return recommend.fit_recommender(ratings, method=request.param)
 
 
 def factors(model):
@@ -189,7 +186,8 @@ def test_user_factors_solve_their_ridge_problem(ratings, recommender):
 
 def test_top_five_equals_scoring_every_bike(ratings, recommender):
     users, items = factors(recommender)
-    got = recommend.ranked(recommend.recommend_to_all(recommender, 5)).toPandas()
+    asked = ratings.select("CustomerKey").distinct()
+    got = recommend.ranked(recommend.recommend_to(recommender, asked, 5)).toPandas()
     assert set(got.CustomerKey) == set(users)
     for user, mine in got.groupby("CustomerKey"):
         mine = mine.sort_values("rank")
@@ -222,6 +220,27 @@ def test_keys_beyond_int_are_refused(spark):
         recommend.fit_by_sums(df, recommend.als_settings())
 
 
+@pytest.mark.parametrize("row", [(1, 1, None), (1, 1, float("nan")), (None, 1, 1.0), (1, None, 1.0)])
+@pytest.mark.parametrize("method", ["blocks", "sums"])
+def test_missing_ratings_and_keys_are_refused(spark, method, row):
+    schema = "CustomerKey int, BikeKey int, Quantity double"
+    df = spark.createDataFrame([(1, 2, 3.0), (2, 1, 1.0), row], schema)
+    with pytest.raises(Exception, match="(?i)null|nan"):
+        recommend.fit_recommender(df, method=method)
+
+
+def test_settings_follow_the_caller_alone(ratings):
+    """The same settings, and so the same fit, whatever the number of rows and cores."""
+    settings = recommend.als_settings()
+    assert settings.getNumUserBlocks() == settings.getNumItemBlocks() == recommend.BLOCKS
+    with pytest.MonkeyPatch.context() as patch:
+        seen = []
+        patch.setattr(type(settings), "fit", lambda self, df: seen.append(self))
+        for df in (ratings, ratings.limit(5).repartition(40)):
+            recommend.fit_recommender(df)
+    assert [(a.getNumUserBlocks(), a.getNumItemBlocks(), a.getSeed()) for a in seen] == [(10, 10, 1)] * 2
+
+
 def test_both_fits_are_about_as_good(ratings):
     rows = ratings.toPandas()
 

@@ -62,6 +62,14 @@ def test_malformed_lines(spark, tmp_path):
         read_csv(spark, str(path), schema, mode="FAILFAST").collect()
 
 
+def test_headerless_lines_that_do_not_parse_are_marked(spark, tmp_path):
+    path = tmp_path / "rows.csv"
+    path.write_text("a,1\nb,many\n")
+    schema = StructType([StructField("name", StringType()), StructField("number", LongType())])
+    kept = read_headerless_csv(spark, str(path), schema, corrupt_column="raw").collect()
+    assert [(r.name, r.number, r.raw) for r in kept] == [("a", 1, None), ("b", None, "b,many")]
+
+
 def test_a_header_that_differs_from_the_schema_is_an_error(spark, tmp_path):
     path = tmp_path / "swapped.csv"
     path.write_text("number,name\n1,a\n")
@@ -113,16 +121,21 @@ def test_shared_dir_is_required_on_a_cluster():
     cluster = mock.MagicMock()
     cluster.conf.get.return_value = None
     cluster.sparkContext.getCheckpointDir.return_value = None
-    cluster.sparkContext.master = "yarn"
-    with pytest.raises(RuntimeError):
-        session.shared_dir(cluster)
+    for master in ("yarn", "local-cluster[3,2,1024]"):
+        cluster.sparkContext.master = master
+        with pytest.raises(RuntimeError):
+            session.shared_dir(cluster)
+
+
+def test_sessions_report_skewed_blocks():
+    assert session.CORE_SETTINGS["spark.shuffle.accurateBlockSkewedFactor"] == "5"
 
 
 def test_settings_follow_the_input():
     small = session.scale_settings(100 * session.MIB, cores=8)
     large = session.scale_settings(100_000 * session.GIB, cores=4000)
     assert small["spark.sql.shuffle.partitions"] == "8"
-    assert large["spark.sql.shuffle.partitions"] == "100000"
+    assert large["spark.sql.shuffle.partitions"] == "20000"
     assert int(small["spark.sql.files.maxPartitionBytes"]) == 16 * session.MIB
     assert int(large["spark.sql.files.maxPartitionBytes"]) == session.GIB
 

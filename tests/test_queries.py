@@ -44,6 +44,12 @@ def test_query(spark, duck, name):
         assert table(result.columns, rows) == table(columns, cursor.fetchall())
 
 
+def test_daily_sales_are_in_order(spark):
+    """Nulls first, then by date."""
+    dates = [r.OrderDate for r in contract.queries()["q08_daily_sales"](spark, SF_DIR).collect()]
+    assert None in dates and dates == sorted(dates, key=lambda d: (d is not None, d))
+
+
 def test_every_sql_has_a_query():
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
