@@ -42,7 +42,7 @@ def audit_from_violations(
     """
     names = F.array(*[F.struct(F.lit(rule.name).alias("rule")) for rule in rules])
     all_rules = df.sparkSession.range(1).select(F.inline(names))
-    counts = broken.groupBy("rule").agg(F.count("*").alias("found"))
+    counts = per_rule(broken.select("rules")).groupBy("rule").agg(F.count("*").alias("found"))
     n_violations = F.coalesce("found", F.lit(0))
     return all_rules.join(counts, "rule", "left").select(
         F.lit(table).alias("table"),
@@ -63,11 +63,16 @@ def verdict(report: DataFrame) -> DataFrame:
 
 
 def violations(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """The rows that break a rule, once per broken rule, with its name in ``rule``.
+    """The rows that break a rule, once each, with the names of the broken rules in ``rules``.
 
-    The filter runs in generated code, so that only the broken rows reach the slower listing of
+    A row that breaks several rules is not copied; ``per_rule`` lists it once for each. The filter runs in generated code, so that only the broken rows reach the slower listing of
     rule names.
     """
     broken = reduce(lambda a, b: a | b, [rule.broken() for rule in rules])
     names = F.array(*[F.when(rule.broken(), F.lit(rule.name)) for rule in rules])
-    return df.where(broken).select("*", F.explode(F.array_compact(names)).alias("rule"))
+    return df.where(broken).select("*", F.array_compact(names).alias("rules"))
+
+
+def per_rule(broken: DataFrame) -> DataFrame:
+    """The rows of ``violations`` once per broken rule, with its name in ``rule``."""
+    return broken.withColumn("rule", F.explode("rules")).drop("rules")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from spokewise.functions.rules import WellFormed
 from spokewise.operators import audit, cleanse, recommend, sales, segments, supply
 from spokewise.schemas import TABLES
+from spokewise.session import scratch
 from spokewise.sinks.models import save_model
 from spokewise.sinks.tables import publish_jdbc, write_parquet
 from spokewise.sources.tables import read_table
@@ -139,12 +140,13 @@ def run(
     """
     job = RetailJob(spark, out)
     first = STEPS.index(from_step)
-    if first <= STEPS.index("clean"):
-        job.clean(inputs, file_format)
-    if first <= STEPS.index("audit"):
-        job.audit()
-    if first <= STEPS.index("analyse"):
-        job.analyse(method, blocks)
+    with scratch(spark):
+        if first <= STEPS.index("clean"):
+            job.clean(inputs, file_format)
+        if first <= STEPS.index("audit"):
+            job.audit()
+        if first <= STEPS.index("analyse"):
+            job.analyse(method, blocks)
     if database:
         job.publish(database)
     report = spark.read.parquet(job.path("audit"))

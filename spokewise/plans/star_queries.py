@@ -227,7 +227,7 @@ def date_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def date_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.violations(_date_texts(spark, sf_dir), DATE_RULES[:2])
+    return audit.per_rule(audit.violations(_date_texts(spark, sf_dir), DATE_RULES[:2]))
 
 
 def date_audit_from_violations(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,9 +67,29 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+_SCOPES: list[str] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """A scope for ``fresh_path`` and ``stored``: what they write inside it goes when it closes.
+
+    Results have to be written elsewhere before that, as they may still read the scratch tables.
+    """
+    folder = f"{shared_dir(spark)}/spokewise/scope-{uuid.uuid4().hex}"
+    _SCOPES.append(folder)
+    try:
+        yield folder
+    finally:
+        _SCOPES.remove(folder)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A path in the shared folder that nobody has used yet."""
-    return f"{shared_dir(spark)}/spokewise/{label}-{uuid.uuid4().hex}"
+    """A path in the shared folder that nobody has used yet; in the scope that is open, if one is."""
+    folder = _SCOPES[-1] if _SCOPES else f"{shared_dir(spark)}/spokewise"
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

@@ -6,6 +6,7 @@ from spokewise.functions.rules import AtLeast, DateFormat, GreaterThan, InSet, P
 from spokewise.operators.audit import (
     audit,
     audit_from_violations,
+    per_rule,
     combine,
     verdict,
     violations,
@@ -45,8 +46,14 @@ def test_raw_tables(spark):
     }
 
 
-def test_violating_rows_come_once_per_rule(spark):
-    rows = violations(frame(spark, "orders"), ORDERS.rules).collect()
+def test_violating_rows_come_once(spark):
+    found = violations(frame(spark, "orders"), [*ORDERS.rules, AtLeast("Quantity", 0)])
+    broken = {r.OrderKey: r.rules for r in found.collect()}
+    assert broken[4] == ["Quantity >= 1", "Quantity >= 0"] and found.count() == len(broken)
+
+
+def test_violating_rows_are_listed_once_per_rule(spark):
+    rows = per_rule(violations(frame(spark, "orders"), ORDERS.rules)).collect()
     assert sorted((r.OrderKey, r.rule) for r in rows) == [
         (3, "Quantity >= 1"),
         (4, "Quantity >= 1"),
@@ -120,7 +127,7 @@ def test_counts_equal_brute_force(spark, rows):
         sum(s is not None and s != "1/2/2020" for s, _ in rows),
     ]
     assert [r.n_violations for r in report.collect()] == expected
-    broken = violations(spark.createDataFrame(rows, "s string, n int"), RULES)
+    broken = per_rule(violations(spark.createDataFrame(rows, "s string, n int"), RULES))
     assert broken.count() == sum(expected)
 
 

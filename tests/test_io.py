@@ -1,3 +1,6 @@
+import os
+import subprocess
+import sys
 from unittest import mock
 
 import pytest
@@ -127,6 +130,41 @@ def test_shared_dir_is_required_on_a_cluster():
             session.shared_dir(cluster)
 
 
+def test_a_closed_scope_leaves_no_files(spark):
+    with session.scratch(spark) as folder:
+        kept = session.stored(spark.range(5).toDF("k"), "numbers")
+        assert kept.inputFiles()[0].split("/")[-2].startswith("numbers-") and kept.count() == 5
+        assert os.path.isdir(folder)
+    assert not os.path.exists(folder)
+    assert "scope-" not in session.fresh_path(spark, "x")
+
+
+def test_hot_keys_are_split_above_2000_partitions():
+    """In a session of its own: the setting is read when a context starts."""
+    code = """
+from pyspark.sql import functions as F
+from spokewise.operators.recommend import with_known
+from spokewise.session import build_session
+spark = build_session("skew", {
+    "spark.master": "local[4]", "spark.ui.enabled": "false", "spark.driver.memory": "2g",
+    "spark.sql.shuffle.partitions": "2500", "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512k",
+})
+n = 600_000
+key = F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id"))
+rows = spark.range(0, n, 1, 8).select(key.alias("k"), F.xxhash64("id").alias("v"))
+joined = with_known(rows, spark.range(n).toDF("k"), "k")
+joined.write.format("noop").mode("overwrite").save()
+joined.count()
+assert joined.collect()
+assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+"""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
+
+
 def test_sessions_report_skewed_blocks():
     assert session.CORE_SETTINGS["spark.shuffle.accurateBlockSkewedFactor"] == "5"
 

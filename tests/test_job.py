@@ -47,10 +47,10 @@ def test_report_lists_what_cleaning_could_not_mend(job):
 
 def test_quarantine(spark, job):
     rows = spark.read.parquet(job[0].path("quarantine", "orders")).collect()
-    assert sorted((r.OrderKey, r.rule) for r in rows) == [
-        (5, "OrderDate is d/M/y"),
-        (7, "OrderDate present"),
-        (9, "line is well formed"),
+    assert sorted((r.OrderKey, r.rules) for r in rows) == [
+        (5, ["OrderDate is d/M/y"]),
+        (7, ["OrderDate present"]),
+        (9, ["line is well formed"]),
     ]
     assert [r.malformed_line for r in rows if r.OrderKey == 9] == ["9,8,1,5,1,many,21/05/2022"]
 
