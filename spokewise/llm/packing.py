@@ -17,6 +17,7 @@ doc_id stays null. An empty table gives no pieces.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -102,6 +103,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.width = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = "H" if self.width.itemsize == 2 else "I"
         self.by_word = type(self.tokenizer.pre_tokenizer).__name__ == "ByteLevel" and not self.tokenizer.normalizer
         self.kinds = character_kinds() if self.by_word else None
         self.letters = "".join(byte_letters()[b] for b in range(256))
@@ -109,22 +111,20 @@ class Encoder:
 
     def _ids(self, word: str) -> bytes:
         letters = word.encode().decode("latin-1").translate(self.letters)
-        return np.array([t.id for t in self.tokenizer.model.tokenize(letters)], dtype=self.width).tobytes()
+        return array(self.code, [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
 
     def encode(self, text: str) -> np.ndarray:
         if not self.by_word or any(s in text for s in self.special):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.width)
         points = np.frombuffer(text.encode("utf-32-le"), "<u4")
         starts = words_from(points, self.kinds).tolist()
-        known, out = self.known, []
-        for a, b in zip(starts, [*starts[1:], len(text)]):
-            word = text[a:b]
-            ids = known.get(word)
+        words = [text[a:b] for a, b in zip(starts, [*starts[1:], len(text)])]
+        out = list(map(self.known.get, words))
+        for i, ids in enumerate(out):
             if ids is None:
-                if len(known) >= MOST_TOKENS_KNOWN:
-                    known.clear()
-                known[word] = ids = self._ids(word)
-            out.append(ids)
+                if len(self.known) >= MOST_TOKENS_KNOWN:
+                    self.known.clear()
+                self.known[words[i]] = out[i] = self._ids(words[i])
         return np.frombuffer(b"".join(out), self.width)
 
 
