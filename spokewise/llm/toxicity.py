@@ -99,14 +99,15 @@ class WordScores(dict):
 
     def __init__(self, table: np.ndarray):
         super().__init__()
-        self.table = table
+        self.table = table.tolist()
 
     def __missing__(self, word: bytes) -> float:
         if len(self) >= MOST_WORDS_KNOWN:
             self.clear()
-        of = self.table[tokens(word)]
-        best = float(of.max())
-        self[word] = value = best if best > -COST else float(of[0])
+        table = self.table
+        of = [table[place] for place in tokens(word)]
+        best = max(of)
+        self[word] = value = best if best > -COST else of[0]
         return value
 
     def of(self, words: list[bytes]) -> np.ndarray:
@@ -129,18 +130,24 @@ def _counts(documents: DataFrame, sample: DataFrame) -> DataFrame:
         total = np.zeros((3, BUCKETS), dtype=np.int64)
 
         def add(row: int, counter: Counter) -> None:
+            if not counter:
+                return
             places = [tokens(word) for word in counter]
             sizes = np.fromiter(map(len, places), np.int64, len(places))
             at = np.fromiter(chain.from_iterable(places), np.int64, int(sizes.sum()))
             times = np.repeat(np.fromiter(counter.values(), np.int64, len(counter)), sizes)
             np.add.at(total[row], at, times)
+            counter.clear()
 
+        counters = [Counter(), Counter(), Counter()]
         for batch in small_batches(batches):
             texts, toxic = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for row, wanted in ((1, 1), (2, 0), (0, None)):
-                chosen = [t for t, y in zip(texts, toxic) if t and (y == wanted)]
-                if chosen:
-                    add(row, Counter(words_of(b" ".join(chosen))))
+                counters[row].update(words_of(b" ".join(t for t, y in zip(texts, toxic) if t and y == wanted)))
+                if len(counters[row]) > MOST_WORDS_KNOWN:
+                    add(row, counters[row])
+        for row, counter in enumerate(counters):
+            add(row, counter)
         total[0] += total[1] + total[2]
         at = np.flatnonzero(total[0])
         for begin in range(0, len(at), 65536):
