@@ -1,11 +1,12 @@
 """Near-duplicate lines by a segment-partition edit join.
 
-Texts are cut at newlines. A line is compared without surrounding white space; lines of fewer than
-``LEAST`` characters are too short to tell a repeat from chance and always stay. Two lines link if at
-most ``EDITS`` single-character edits turn one into the other. Of the lines that reach each other
-by links the earliest stays (smallest id, then place in the table, then line number) and the others go.
+Texts are cut at newlines. A line is compared without surrounding white space; blank lines always
+stay. Equal lines link at any length. Two lines of ``LEAST`` characters or more, enough for an edit to
+mean little, also link if at most ``EDITS`` single-character edits turn one into the other. Of the
+lines that reach each other by links the earliest stays (smallest id, then place in the table, then
+line number) and the others go.
 
-A line is cut into EDITS + 1 even segments; whatever EDITS edits do, one segment survives at a place
+Equal lines are folded by their ids, without keys. A line of LEAST characters or more is cut into EDITS + 1 even segments; whatever EDITS edits do, one segment survives at a place
 that the lengths bound. So each different line is stored under its segments (length, number, text)
 and probes the substrings that could equal a segment of a line no longer than itself. Keys
 that meet make candidates, which are verified by a bit-parallel edit distance: for each number
@@ -32,6 +33,7 @@ from spokewise.llm.common import connected_components, id_key, small_batches
 from spokewise.session import stored
 
 EDITS = 2
+#: Characters that a line must have to link with lines that differ from it.
 LEAST = 20
 #: Lines of one key that are compared with each other in one go.
 MOST_IN_KEY = 1000
@@ -127,7 +129,7 @@ def within(a: str, b: str, edits: int) -> bool:
 def _lines(body: str | None) -> Iterator[tuple[int, str]]:
     for number, line in enumerate((body or "").split("\n")):
         line = line.strip()
-        if len(line) >= LEAST:
+        if line:
             yield number, line
 
 
@@ -141,7 +143,7 @@ def _half(digest: bytes) -> int:
 
 
 def _occurrences(rows: DataFrame) -> DataFrame:
-    """(half, id, k1, rid, number) of every line that is long enough."""
+    """(half, id, k1, rid, number) of every line that is not blank."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, 2000):
@@ -160,7 +162,7 @@ def _occurrences(rows: DataFrame) -> DataFrame:
 
 
 def _keys(rows: DataFrame, edits: int) -> DataFrame:
-    """(key, mark) of the lines; mark is the line's half id and, in the lowest bit, own.
+    """(key, mark) of the lines that are long enough; mark is the line's half id and, in the lowest bit, own.
 
     A task gives the keys of a line once, however often it meets the line.
     """
@@ -171,6 +173,8 @@ def _keys(rows: DataFrame, edits: int) -> DataFrame:
             keys, marks = [], []
             for body in batch.column(0).to_pylist():
                 for _, line in _lines(body):
+                    if len(line) < LEAST:
+                        continue
                     half = _half(line_id(line))
                     if half in known:
                         continue
