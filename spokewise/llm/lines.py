@@ -15,8 +15,8 @@ never all pairs. Keys with more than ``MOST_IN_KEY`` lines pass into the next ro
 they are dealt out by a second surviving piece, until only equal lines could share a key.
 
 Null texts are empty and come back null; the number of lines of a text that loses some falls, and
-a text may become empty. Rows with equal ids are told apart by their place in the table, so
-``documents`` must be a scan of files.
+a text may become empty. Rows with equal ids are told apart by their place in the table, which is
+written down once, beside the columns that the passes read.
 """
 
 from __future__ import annotations
@@ -385,7 +385,7 @@ def dedupe_lines(
     keep = [c for c in keep if c not in ("text", *counts)]
     kept = [F.col(c).alias(f"keep_{i}") for i, c in enumerate(keep)]
     place = [F.monotonically_increasing_id().alias("rid"), id_key().alias("k1")]
-    rows = documents.select(*place, F.col("text").cast("string").alias("text"), *kept)
+    rows = stored(documents.select(*place, F.col("text").cast("string").alias("text"), *kept), "rows")
     occurrences = stored(_occurrences(rows.select("rid", "k1", "text")), "line-occurrences")
     classes = line_classes(rows, occurrences, edits)
     named = occurrences.join(classes, "id", "left").select(

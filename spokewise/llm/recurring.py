@@ -7,8 +7,8 @@ long. Only regions whose anchor occurs at least twice can hold a window that rec
 counts anchors over all documents, brings the recurring ones back to their documents, and emits those
 regions. Equal regions then meet in one group per anchor.
 
-Documents are told apart by their place in the table, so ``documents`` must be a scan of files, for
-which that place is the same in every pass.
+Documents are told apart by their place in the table. ``numbered`` writes it down once, beside what
+the passes read, since a scan may split the files otherwise when executors come or go.
 """
 
 from __future__ import annotations
@@ -89,13 +89,14 @@ def regions_of(codes: np.ndarray, units: Units, table: tuple[np.ndarray, np.ndar
 
 
 def numbered(documents: DataFrame) -> DataFrame:
-    """(rid, k1, doc_id, body): place in the table, comparable id, id, text as bytes."""
-    return documents.select(
+    """(rid, k1, doc_id, body), stored: place in the table, comparable id, id, text as bytes."""
+    rows = documents.select(
         F.monotonically_increasing_id().alias("rid"),
         id_key().alias("k1"),
         "doc_id",
         F.col("text").cast("binary").alias("body"),
     )
+    return stored(rows, "rows")
 
 
 def _anchors(documents: DataFrame, units: Units) -> DataFrame:

@@ -244,9 +244,13 @@ def keep_one(documents: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS)
     """The documents without all but one of each component.
 
     The one with the smallest id stays, of equal ids the first in the table; null counts as the
-    smallest id. ``documents`` must be a scan of files, whose order is the same in every pass.
+    smallest id. The place in the table is written down once, beside the columns.
     """
-    placed = documents.select("text", id_key().alias("k1"), F.monotonically_increasing_id().alias("rid"))
+    names = {c: f"c{i}" for i, c in enumerate(documents.columns)}
+    own_names = documents.toDF(*names.values())
+    place = [F.monotonically_increasing_id().alias("rid"), id_key(names["doc_id"]).alias("k1")]
+    rows = stored(own_names.select(*place, *names.values()), "rows")
+    placed = rows.select("rid", "k1", F.col(names["text"]).alias("text"))
     marked = stored(fingerprints(placed, ["k1", "rid"], shingle), "fingerprints")
     linked = near_duplicates(marked, radius)
     place = F.struct("k1", "rid")
@@ -255,6 +259,5 @@ def keep_one(documents: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS)
     stays = known.groupBy("root").agg(F.min("own").alias("stays"))
     chosen = known.join(stays, "root").select("fingerprint", "stays")
     gone = marked.join(chosen, "fingerprint").where(place != F.col("stays")).select("rid")
-    own_names = documents.toDF(*(f"c{i}" for i in range(len(documents.columns))))
-    left = own_names.withColumn("rid", F.monotonically_increasing_id()).join(stored(gone, "removed"), "rid", "left_anti")
-    return left.drop("rid").toDF(*documents.columns)
+    left = rows.join(stored(gone, "removed"), "rid", "left_anti")
+    return left.drop("rid", "k1").toDF(*documents.columns)
