@@ -4,7 +4,7 @@ Equal vectors are folded into classes first. Classes are dealt into shards; each
 a hierarchy of small-world graphs, stored, and every class queries every shard in blocks. A block
 begins with an audit: some of its queries, and at first some members turned away by just the
 threshold's angle, are compared with the whole shard, and the beam is doubled until the graph finds
-``RECALL`` of their links. A query whose beam is full of links has its own beam doubled, and beyond a quarter
+``RECALL`` of their links, those of large groups too, and ``NEAREST`` of their nearest vectors. A query whose beam is full of links has its own beam doubled, and beyond a quarter
 of the shard it is compared with all of it. Found pairs are verified by cosine in double precision.
 A shard's task passes on, per query, one link for each shard and the components its members form, so
 the links of a group of n vectors never become n² rows.
@@ -38,6 +38,7 @@ BUILD_BEAM = 48
 FIRST_BEAM = 32
 AUDIT_EVERY = 32
 RECALL = 0.98
+NEAREST = 0.9
 #: Turned members in a shard's first audit.
 TURNED = 64
 #: Vertices opened at a time.
@@ -211,32 +212,16 @@ class Shard:
         entry = _descend(self.layers[:-1], self.points, queries)
         return beam_search(self.layers[-1], self.points, queries, entry, beam)
 
-    def audit(self, queries: np.ndarray) -> None:
-        """Double the beam until the graph finds what the whole shard has for the sample."""
-        sample = np.concatenate((queries[::AUDIT_EVERY], self.turned))
-        self.turned = self.turned[:0]
-        wanted = sample @ self.points.T >= self.threshold
-        # a query of many links widens its own beam
-        wanted[wanted.sum(axis=1) > self.beam // 2] = False
-        while self.beam < self.n:
-            ids = self.graph_search(sample, self.beam)[0]
-            found = np.zeros_like(wanted)
-            rows, columns = np.nonzero(ids >= 0)
-            found[rows, ids[rows, columns]] = True
-            if (found & wanted).sum() >= RECALL * wanted.sum():
-                return
-            self.beam *= 2
-
-    def links(self, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(query, vertex) of all pairs found, verified."""
-        exact = unit(raw)
-        queries = exact.astype(np.float32)
-        self.audit(queries)
+    def candidates(self, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query, vertex) of the pairs found by a beam that widens where it is full, and each query's best similarity."""
         slack = self.threshold - 1e-4
-        pairs, open_, beam = [], np.arange(len(raw)), self.beam
+        pairs, open_ = [], np.arange(len(queries))
+        best = np.full(len(queries), -2, dtype=np.float32)
         while len(open_):
             if 4 * beam >= self.n:
-                row, vertex = np.nonzero(queries[open_] @ self.points.T >= slack)
+                sims = queries[open_] @ self.points.T
+                row, vertex = np.nonzero(sims >= slack)
+                best[open_] = sims.max(axis=1)
                 pairs.append((open_[row], vertex))
                 break
             rest = []
@@ -244,12 +229,42 @@ class Shard:
             for begin in range(0, len(open_), room):
                 part = open_[begin : begin + room]
                 ids, sims = self.graph_search(queries[part], beam)
+                best[part] = sims[:, 0]
                 full = sims[:, -1] >= slack
                 row, column = np.nonzero((sims >= slack) & ~full[:, None])
                 pairs.append((part[row], ids[row, column]))
                 rest.append(part[full])
             open_, beam = np.concatenate(rest), 4 * beam
         query, vertex = (np.concatenate(c) for c in zip(*pairs))
+        return query, vertex, best
+
+    def audit(self, queries: np.ndarray) -> None:
+        """Double the beam until the search finds what the whole shard has for the sample.
+
+        Links are held to account over all of them and query by query, so that neither the queries
+        of many links nor those of few hide the others. Beyond a quarter of the shard the search is exact.
+        """
+        sample = np.concatenate((queries[::AUDIT_EVERY], self.turned))
+        self.turned = self.turned[:0]
+        sims = sample @ self.points.T
+        wanted, nearest = sims >= self.threshold, sims.max(axis=1)
+        counts = wanted.sum(axis=1)
+        linked = counts > 0
+        while 4 * self.beam < self.n:
+            query, vertex, best = self.candidates(sample, self.beam)
+            found = np.bincount(query[wanted[query, vertex]], minlength=len(sample))
+            whole = found.sum() >= RECALL * counts.sum()
+            each = (found[linked] / counts[linked]).sum() >= RECALL * linked.sum()
+            if whole and each and (best >= nearest - 1e-6).mean() >= NEAREST:
+                return
+            self.beam *= 2
+
+    def links(self, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(query, vertex) of all pairs found, verified."""
+        exact = unit(raw)
+        queries = exact.astype(np.float32)
+        self.audit(queries)
+        query, vertex, _ = self.candidates(queries, self.beam)
         cosine = np.einsum("ij,ij->i", exact[query], self.exact[vertex])
         good = cosine >= self.threshold
         return query[good], vertex[good]
