@@ -5,7 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spokewise.llm import chat, decontaminate, lines, packing, phrases, private, simhash, suffixes, toxicity, vectors
+from spokewise.llm import (
+    chat,
+    decontaminate,
+    lines,
+    oracle,
+    packing,
+    phrases,
+    private,
+    search,
+    simhash,
+    suffixes,
+    toxicity,
+    vectors,
+)
 from spokewise.llm.common import table
 from spokewise.session import stored
 
@@ -101,6 +114,10 @@ def op10_suffix_radix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_benchmark_decontamination,
     op2_simhash_near_dedup,
@@ -112,5 +129,6 @@ QUERIES = {f.__name__: f for f in (
     op8_phrase_automata,
     op9_private_data,
     op10_suffix_radix,
+    op12_lexical_search,
 )}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op12_lexical_search": oracle.SEARCH}

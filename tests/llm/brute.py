@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import re
 
 import numpy as np
@@ -144,6 +145,24 @@ def lines_removed(docs, edits=2, least=20, near=edit_distance):
     return out
 
 
+def ranked(docs, items, top=50):
+    word = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
+    bags = [(d, collections.Counter(word.findall((t or "").translate(LOWER)))) for d, t in docs]
+    n_docs, n_terms = sum(1 for _, c in bags if c), sum(c.total() for _, c in bags)
+    df = collections.Counter(t for _, c in bags for t in c)
+    weight = {t: math.floor(1000 * math.log((2 * n_docs + 2) / (2 * k + 1))) for t, k in df.items()}
+    out = []
+    for item, text in items:
+        terms, scores = set(word.findall((text or "").translate(LOWER))), []
+        for d, c in bags:
+            m = 50 + 50 * c.total() * n_docs // max(1, n_terms)
+            score = sum(weight[t] * (10**9 * c[t] // (1000 * c[t] + 20 * m)) for t in terms if t in c)
+            if score > 0:
+                scores.append((-score, NULL_FIRST(d), d))
+        out += [(item, k + 1, d, -s) for k, (s, _, d) in enumerate(sorted(scores, key=lambda x: x[:2])[:top])]
+    return out
+
+
 def private(docs):
     patterns = {
         "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",

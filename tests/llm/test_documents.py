@@ -2,7 +2,7 @@
 
 import pytest
 
-from spokewise.llm import lines, queries, recurring, simhash
+from spokewise.llm import lines, queries, recurring, search, simhash
 from tests.llm import brute, tables
 
 ITEMS = [(1, "the quick brown fox"), (None, "the quick"), (3, None), (4, ""), (4, "one two " * 20)]
@@ -101,6 +101,17 @@ def test_lines(spark, folder, monkeypatch, most):
     agree(queries.op6_line_dedup(spark, folder), wanted)
 
 
+def test_search(spark, folder, docs, items):
+    agree(queries.op12_lexical_search(spark, folder), brute.ranked(docs, items))
+
+
+def test_search_in_shards_blocks_and_strata(spark, folder, docs, items, monkeypatch):
+    monkeypatch.setattr(search, "SHARD_BYTES", 40_000)
+    monkeypatch.setattr(search, "BLOCK_TERMS", 50)
+    monkeypatch.setattr(search, "VISIT", 3)
+    agree(queries.op12_lexical_search(spark, folder), brute.ranked(docs, items))
+
+
 def test_private(spark, folder, docs):
     rows = queries.op9_private_data(spark, folder).collect()
     wanted = brute.private(docs)
