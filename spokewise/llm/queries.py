@@ -17,6 +17,7 @@ from spokewise.llm import (
     simhash,
     suffixes,
     toxicity,
+    trie,
     vectors,
 )
 from spokewise.llm.common import table
@@ -114,6 +115,10 @@ def op10_suffix_radix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -129,6 +134,7 @@ QUERIES = {f.__name__: f for f in (
     op8_phrase_automata,
     op9_private_data,
     op10_suffix_radix,
+    op11_conversation_trie,
     op12_lexical_search,
 )}
-ORACLE: dict[str, str] = {"op12_lexical_search": oracle.SEARCH}
+ORACLE: dict[str, str] = {"op11_conversation_trie": oracle.TRIE, "op12_lexical_search": oracle.SEARCH}

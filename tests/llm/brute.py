@@ -4,6 +4,7 @@ import collections
 import hashlib
 import math
 import re
+import zlib
 
 import numpy as np
 import xxhash
@@ -231,3 +232,33 @@ def conversations(rows):
         loss = "".join(t for _, _, r, t in turns if r == "assistant")
         out.append((c, len(turns), sha(told), len(loss), sha(loss)))
     return out
+
+
+def prefix_trie(rows):
+    """rows (conv_id, turn, role, text)."""
+    by = collections.defaultdict(list)
+    for c, turn, role, text in rows:
+        if c is not None:
+            by[c].append((turn is not None, turn or 0, role or "", text or ""))
+    told = {c: [t[2:] for t in sorted(turns)] for c, turns in by.items()}
+    rebuilt = {}
+    for c, turns in told.items():
+        h = zlib.crc32(str(c).encode()) % 9
+        base = c - (c % 5 if c >= 0 else -(-c % 5))
+        rebuilt[c] = tuple(told.get(base, [])[:h] + turns[h:])
+    members = collections.defaultdict(list)
+    for c, turns in sorted(rebuilt.items()):
+        for d in range(len(turns) + 1):
+            members[turns[:d]].append(c)
+    children = collections.Counter(p[:-1] for p in members if p)
+    leaves, saved = collections.Counter(), collections.Counter()
+    for p, m in members.items():
+        for d in range(len(p) + 1):
+            leaves[p[:d]] += children[p] == 0
+            saved[p[:d]] += (len(m) - 1) * len(p[-1][1].encode()) if p else 0
+    out = []
+    for p, m in members.items():
+        up = members[p[:-1]][0] if p else None
+        ends = ",".join(str(c) for c in m if rebuilt[c] == p)
+        out.append((m[0], len(p), up, len(m), children[p], leaves[p], saved[p], sha(ends)))
+    return out
