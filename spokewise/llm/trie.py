@@ -70,11 +70,11 @@ def _numbered(conversations: DataFrame) -> DataFrame:
             if not batch.num_rows:
                 continue
             conv = batch.column(0).to_numpy()
-            at = np.arange(len(conv))
-            heads = np.flatnonzero(np.concatenate(([conv[0] != last], conv[1:] != conv[:-1])))
-            place = at - np.repeat(heads, np.diff(np.append(heads, len(conv)))) if len(heads) else at + seen
-            if len(heads) and heads[0]:  # pragma: no cover - rows before the first head go on from the last batch
-                place = np.concatenate((at[: heads[0]] + seen, place))
+            heads = np.append(0, np.flatnonzero(conv[1:] != conv[:-1]) + 1)
+            begins = heads.copy()
+            if conv[0] == last:  # the first rows go on from the last batch
+                begins[0] = -seen
+            place = np.arange(len(conv)) - np.repeat(begins, np.diff(np.append(heads, len(conv))))
             last, seen = int(conv[-1]), int(place[-1]) + 1
             columns = [pa.array(np.full(len(conv), part), pa.int32()), batch.column(0), pa.array(place, pa.int64())]
             yield pa.RecordBatch.from_arrays([*columns, *batch.columns[1:]], names=["part", "conv", "place", "key", "size"])

@@ -34,6 +34,16 @@ def test_trie(spark, monkeypatch, turns, band):
     assert found(spark, rows, band) == tables.sorted_rows(brute.prefix_trie(rows))
 
 
+def test_conversation_over_batches_and_ranges(spark):
+    rows = [(c, t, "user", str(t % 7)) for c, n in ((0, 20), (1, 900), (4, 1200), (6, 901)) for t in range(n)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 100)
+    try:
+        mine = found(spark, rows, 500)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert mine == tables.sorted_rows(brute.prefix_trie(rows))
+
+
 def test_query(spark, tmp_path):
     rows = tables.read("conversations", ["conv_id", "turn", "role", "text"]) + odd_rows()
     extra = [(*r, "c", "k", "n") for r in rows]
