@@ -14,6 +14,7 @@ from spokewise.llm import (
     phrases,
     private,
     search,
+    secrets,
     simhash,
     suffixes,
     toxicity,
@@ -123,6 +124,25 @@ def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    found = secrets.scan(documents, secrets.fit(documents), ["doc_id"])
+
+    def written(spans: str) -> str:
+        return f"array_join(transform(secrets.{spans}, s -> concat_ws(':', s.kind, s.start, s.end)), ',')"
+
+    counts = [
+        F.expr(f"CAST(size(filter(secrets.base, s -> s.kind = '{k}')) AS LONG)").alias(f"n_{k}") for k in secrets.PATTERNS
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(F.expr(written("base")), 256).alias("base_sha256"),
+        F.expr(written("spans")).alias("spans"),
+        F.size("secrets.spans").cast("long").alias("n_spans"),
+    )
+
+
 QUERIES = {f.__name__: f for f in (
     op1_benchmark_decontamination,
     op2_simhash_near_dedup,
@@ -136,5 +156,6 @@ QUERIES = {f.__name__: f for f in (
     op10_suffix_radix,
     op11_conversation_trie,
     op12_lexical_search,
+    op13_secret_scan,
 )}
 ORACLE: dict[str, str] = {"op11_conversation_trie": oracle.TRIE, "op12_lexical_search": oracle.SEARCH}

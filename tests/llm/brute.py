@@ -262,3 +262,20 @@ def prefix_trie(rows):
         ends = ",".join(str(c) for c in m if rebuilt[c] == p)
         out.append((m[0], len(p), up, len(m), children[p], leaves[p], saved[p], sha(ends)))
     return out
+
+
+def secrets(docs):
+    patterns = {
+        "assign": (r"""(?ia)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+        "access": (r"AKIA[A-Z0-9]+", 0, 20),
+        "hex": (r"[0-9a-f]+", 0, 24),
+    }
+    out = []
+    for d, text in docs:
+        spans = []
+        for k, (kind, (pattern, group, least)) in enumerate(patterns.items()):
+            spans += [(m.start(), k, m.end(), kind) for m in re.finditer(pattern, text or "") if len(m[group]) >= least]
+        spans = [f"{kind}:{a}:{b}" for a, _, b, kind in sorted(spans)]
+        counts = [sum(s.startswith(k) for s in spans) for k in patterns]
+        out.append((d, *counts, sha(",".join(spans)), spans))
+    return out
