@@ -20,7 +20,9 @@ def scale_settings(input_bytes: int, cores: int) -> dict[str, str]:
     The shuffle starts with about one partition per 4 GiB of input and 20,000 at most, never fewer
     than the cores: maps x reducers blocks stay some 50 KB large at 100 TB. AQE merges the small
     ones and splits the skewed ones towards one size. Small inputs keep small splits so that every
-    core has work.
+    core has work. A join whose smaller side was filtered sends a Bloom filter of its keys ahead of
+    the larger side's shuffle, where that side scans at least a hundredth of the input and the filter's side is
+    small enough to be read twice.
     """
     partitions = max(cores, min(20_000, -(-input_bytes // (4 * GIB))))
     split = max(16 * MIB, min(GIB, input_bytes // max(1, 4 * cores)))
@@ -33,6 +35,9 @@ def scale_settings(input_bytes: int, cores: int) -> dict[str, str]:
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * merged),
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+        "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": str(input_bytes // 100),
+        "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": str(max(16 * MIB, min(4 * GIB, input_bytes // 1000))),
     }
 
 
