@@ -6,6 +6,11 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeansModel
 from pyspark.ml.recommendation import ALSModel
 from pyspark.ml.regression import LinearRegressionModel
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+
+from spokewise.operators.factors import FactorTables
+from spokewise.sinks.models import FACTORS
 
 
 def load_forecast(path: str) -> LinearRegressionModel:
@@ -21,5 +26,12 @@ def load_segmentation(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def load_recommender(path: str) -> ALSModel:
-    return ALSModel.load(path)
+def load_recommender(path: str) -> ALSModel | FactorTables:
+    """MLlib's model, or the factor tables of the other fit, whichever lies at the path."""
+    spark = SparkSession.getActiveSession()
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{FACTORS}")
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        return ALSModel.load(path)
+    users, items = (spark.read.parquet(f"{path}/{FACTORS}/{side}") for side in ("users", "items"))
+    rank = users.select(F.size("features")).first()
+    return FactorTables(rank[0] if rank else 0, users, items)
