@@ -15,8 +15,8 @@ never all pairs. Keys with more than ``MOST_IN_KEY`` lines pass into the next ro
 they are dealt out by a second surviving piece, until only equal lines could share a key.
 
 Null texts are empty and come back null; the number of lines of a text that loses some falls, and
-a text may become empty. Rows with equal ids are told apart by their place in the table, which is
-written down once, beside the columns that the passes read.
+a text may become empty. Rows with equal ids are told apart by their place in the table: see
+``common.placed``.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spokewise.llm.common import connected_components, id_key, small_batches
+from spokewise.llm.common import connected_components, id_key, placed, small_batches
 from spokewise.session import stored
 
 EDITS = 2
@@ -147,18 +147,17 @@ def _occurrences(rows: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, 2000):
-            out: list[list] = [[] for _ in range(5)]
-            for rid, k1, body in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            out: list[list] = [[] for _ in range(4)]
+            for row, body in enumerate(batch.column(2).to_pylist()):
                 for number, line in _lines(body):
                     digest = line_id(line)
-                    for column, value in zip(out, (_half(digest), digest, k1, rid, number)):
+                    for column, value in zip(out, (_half(digest), digest, row, number)):
                         column.append(value)
-            kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(out, kinds)], names=["half", "id", "k1", "rid", "number"]
-            )
+            half, ids, owner, number = (pa.array(c, k) for c, k in zip(out, (pa.int64(), pa.binary(), pa.int64(), pa.int32())))
+            columns = [half, ids, batch.column(1).take(owner), batch.column(0).take(owner), number]
+            yield pa.RecordBatch.from_arrays(columns, names=["half", "id", "k1", "rid", "number"])
 
-    return rows.mapInArrow(run, "half long, id binary, k1 long, rid long, number int")
+    return rows.mapInArrow(run, "half long, id binary, k1 long, rid binary, number int")
 
 
 def _keys(rows: DataFrame, edits: int) -> DataFrame:
@@ -383,9 +382,8 @@ def dedupe_lines(
     replace kept columns of these names.
     """
     keep = [c for c in keep if c not in ("text", *counts)]
-    kept = [F.col(c).alias(f"keep_{i}") for i, c in enumerate(keep)]
-    place = [F.monotonically_increasing_id().alias("rid"), id_key().alias("k1")]
-    rows = stored(documents.select(*place, F.col("text").cast("string").alias("text"), *kept), "rows")
+    kept = [F.col(f"`{c}`").alias(f"keep_{i}") for i, c in enumerate(keep)]
+    rows = placed(documents, id_key().alias("k1"), F.col("text").cast("string").alias("text"), *kept)
     occurrences = stored(_occurrences(rows.select("rid", "k1", "text")), "line-occurrences")
     classes = line_classes(rows, occurrences, edits)
     named = occurrences.join(classes, "id", "left").select(
@@ -396,7 +394,7 @@ def dedupe_lines(
     gone = named.join(several, "root").where("at <> first").groupBy("at.rid").agg(F.collect_list("at.number").alias("gone"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             texts, before, lost = [], [], []
             for text, numbers in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 lines = [] if text is None else text.split("\n")

@@ -5,10 +5,12 @@ A word goes if it lies in a window whose word sequence also starts earlier: in a
 smaller id, in a document with the same id that stands before in the table, or before in the same
 document. Windows are judged on the input.
 
-Recurring passages are found by their anchors (see ``recurring``). Each task takes the passages of
-its anchors, compiles Aho-Corasick automata over their windows shard by shard, and streams the
-passages of all documents through them to locate every occurrence; the earliest one
-stays. An automaton's alphabet is the shard's words, one character for each, so matches are exact.
+Passages that may recur are brought together by their anchors (see ``recurring``). Each task takes the
+passages of its anchors, shard by shard: it counts their windows, which confirms those that recur, compiles one
+Aho-Corasick automaton over the confirmed ones, and streams the shard's stretches of all documents through it
+to locate every occurrence; the earliest one stays. Stretches without a recurring anchor hold no
+recurring window and are never sent; equal stretches are folded on the way, and the automaton meets
+one of them. An automaton's alphabet is the shard's words, one character for each, so matches are exact.
 
 Null texts and texts of fewer words than a window lose nothing. A null id counts as the smallest.
 """
@@ -23,7 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 
-from spokewise.llm.common import runs
+from spokewise.llm.common import runs, small_batches
 from spokewise.llm.recurring import Units, covered, mask_of, numbered, recurring_regions, with_covers
 
 WINDOW = 20
@@ -65,11 +67,17 @@ def locate(groups: list[list[tuple]], units: Units) -> Iterator[tuple]:
                 code = len(letters) + 1
                 letters[w] = chr(code if code < 0xD800 else code + 0x800)
         passages.append(((k1, rid, lo), "".join(map(letters.__getitem__, words))))
+    once: set[str] = set()
     automaton = ahocorasick.Automaton()
     for _, text in passages:
         for i in range(len(text) - units.window + 1):
-            if text[i : i + units.window] not in automaton:
-                automaton.add_word(text[i : i + units.window], len(automaton))
+            window = text[i : i + units.window]
+            if window not in once:
+                once.add(window)
+            elif window not in automaton:  # confirmed
+                automaton.add_word(window, len(automaton))
+    if not len(automaton):
+        return
     automaton.make_automaton()
     first: dict[int, tuple] = {}
     found = []
@@ -98,7 +106,7 @@ def drop_repeated_passages(documents: DataFrame, window: int = WINDOW, gram: int
         names = ["doc_id", "n_words", "n_removed", "removed", "text"]
         span = pa.struct([("first", pa.int64()), ("last", pa.int64())])
         kinds = [pa.int64(), pa.int64(), pa.list_(span), pa.string()]
-        for batch in batches:
+        for batch in small_batches(batches):
             out: list[list] = [[] for _ in kinds]
             for i, body in enumerate(batch.column(1).to_pylist()):
                 words = cut_words(body or b"")

@@ -7,8 +7,8 @@ long. Only regions whose anchor occurs at least twice can hold a window that rec
 counts anchors over all documents, brings the recurring ones back to their documents, and emits those
 regions. Equal regions then meet in one group per anchor.
 
-Documents are told apart by their place in the table. ``numbered`` writes it down once, beside what
-the passes read, since a scan may split the files otherwise when executors come or go.
+Documents are told apart by their place in the table, by which those with equal ids are ordered: see
+``common.placed``.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spokewise.llm.common import id_key, small_batches
+from spokewise.llm.common import id_key, placed, small_batches
 from spokewise.session import stored
 
 BASE = 0x9E3779B97F4A7C15
@@ -35,8 +35,8 @@ MOST_FOLDED, MOST_FOLDED_BYTES = 100_000, 32 << 20
 #: Windows that are compared at a time.
 CHUNK_WINDOWS = 40_000
 
-REGION = "h long, rh long, k1 long, rid long, lo long, n int, rel int, body binary, times int"
-COVER = "rid long, lo long, n int, h long, w1 long, w2 long, k1 long"
+REGION = "h long, rh long, k1 long, rid binary, lo long, n int, rel int, body binary, times int"
+COVER = "rid binary, lo long, n int, h long, w1 long, w2 long, k1 long"
 
 
 @dataclass(frozen=True)
@@ -89,14 +89,8 @@ def regions_of(codes: np.ndarray, units: Units, table: tuple[np.ndarray, np.ndar
 
 
 def numbered(documents: DataFrame) -> DataFrame:
-    """(rid, k1, doc_id, body), stored: place in the table, comparable id, id, text as bytes."""
-    rows = documents.select(
-        F.monotonically_increasing_id().alias("rid"),
-        id_key().alias("k1"),
-        "doc_id",
-        F.col("text").cast("binary").alias("body"),
-    )
-    return stored(rows, "rows")
+    """(rid, k1, doc_id, body): place in the table, comparable id, id, text as bytes."""
+    return placed(documents, id_key().alias("k1"), "doc_id", F.col("text").cast("binary").alias("body"))
 
 
 def _anchors(documents: DataFrame, units: Units) -> DataFrame:
@@ -104,20 +98,20 @@ def _anchors(documents: DataFrame, units: Units) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = powers()
-        for batch in batches:
+        for batch in small_batches(batches):
             hashes, rows = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
-            rids = batch.column(0).to_numpy()
-            for rid, body in zip(rids, batch.column(1).to_pylist()):
+            for row, body in enumerate(batch.column(1).to_pylist()):
                 h = regions_of(units.codes(units.cut(body or b"")), units, table)[0]
                 h, times = np.unique(h, return_counts=True)
                 h = np.repeat(h, np.minimum(times, 2))
                 hashes.append(h)
-                rows.append(np.full(len(h), rid))
+                rows.append(np.full(len(h), row))
+            rids = batch.column(0).take(pa.array(np.concatenate(rows)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(hashes).view(np.int64)), pa.array(np.concatenate(rows))], names=["h", "rid"]
+                [pa.array(np.concatenate(hashes).view(np.int64)), rids], names=["h", "rid"]
             )
 
-    return documents.select("rid", "body").mapInArrow(run, "h long, rid long")
+    return documents.select("rid", "body").mapInArrow(run, "h long, rid binary")
 
 
 def _regions(documents: DataFrame, units: Units) -> DataFrame:
@@ -130,7 +124,7 @@ def _regions(documents: DataFrame, units: Units) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = powers()
         names = ["h", "rh", "k1", "rid", "lo", "n", "rel", "body", "times"]
-        kinds = [pa.int64()] * 5 + [pa.int32()] * 2 + [pa.binary(), pa.int32()]
+        kinds = [pa.int64()] * 3 + [pa.binary(), pa.int64()] + [pa.int32()] * 2 + [pa.binary(), pa.int32()]
         folded: dict[tuple[int, int], list] = {}
         size, out = 0, []
 
@@ -152,7 +146,7 @@ def _regions(documents: DataFrame, units: Units) -> DataFrame:
                 text = units.cut(body or b"")
                 h, lo, n, rel = regions_of(units.codes(text), units, table)
                 hs = wanted[i].values.to_numpy().view(np.uint64)
-                spread = xxhash.xxh64_intdigest(rid.to_bytes(8, "little")) - (1 << 63)
+                spread = xxhash.xxh64_intdigest(rid) - (1 << 63)
                 chosen = np.isin(h, hs)
                 columns = (h.view(np.int64)[chosen], lo[chosen], n[chosen], rel[chosen])
                 for a, b, c, d in zip(*(v.tolist() for v in columns)):
@@ -204,7 +198,7 @@ def covered(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["rid", "lo", "n", "h", "w1", "w2", "k1"]
-        kinds = [pa.int64(), pa.int64(), pa.int32()] + [pa.int64()] * 4
+        kinds = [pa.binary(), pa.int64(), pa.int32()] + [pa.int64()] * 4
         out: list[tuple] = []
         ready: list[list[tuple]] = []
         waiting = 0

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spokewise.llm.common import connected_components, expand, id_key, join_labels
+from spokewise.llm.common import connected_components, expand, id_key, join_labels, placed
 from spokewise.session import stored
 
 SHINGLE = 3
@@ -244,14 +244,13 @@ def keep_one(documents: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS)
     """The documents without all but one of each component.
 
     The one with the smallest id stays, of equal ids the first in the table; null counts as the
-    smallest id. The place in the table is written down once, beside the columns.
+    smallest id. Rows are told apart by their place in the table: see ``common.placed``.
     """
     names = {c: f"c{i}" for i, c in enumerate(documents.columns)}
-    own_names = documents.toDF(*names.values())
-    place = [F.monotonically_increasing_id().alias("rid"), id_key(names["doc_id"]).alias("k1")]
-    rows = stored(own_names.select(*place, *names.values()), "rows")
-    placed = rows.select("rid", "k1", F.col(names["text"]).alias("text"))
-    marked = stored(fingerprints(placed, ["k1", "rid"], shingle), "fingerprints")
+    kept = [F.col(f"`{c}`").alias(name) for c, name in names.items()]
+    rows = placed(documents, id_key().alias("k1"), *kept)
+    texts = rows.select("rid", "k1", F.col(names["text"]).alias("text"))
+    marked = stored(fingerprints(texts, ["k1", "rid"], shingle), "fingerprints")
     linked = near_duplicates(marked, radius)
     place = F.struct("k1", "rid")
     first = marked.groupBy("fingerprint").agg(F.min(place).alias("own"))

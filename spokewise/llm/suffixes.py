@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from spokewise.llm.common import expand, runs
+from spokewise.llm.common import expand, runs, small_batches
 from spokewise.llm.recurring import Units, covered, mask_of, numbered, recurring_regions, with_covers
 
 WINDOW = 200
@@ -107,7 +107,7 @@ def drop_repeated_bytes(documents: DataFrame, window: int = WINDOW, gram: int =
         names = ["doc_id", "n_bytes", "n_removed", "removed", "kept"]
         span = pa.struct([("first", pa.int64()), ("last", pa.int64())])
         kinds = [pa.int64(), pa.int64(), pa.list_(span), pa.binary()]
-        for batch in batches:
+        for batch in small_batches(batches):
             out: list[list] = [[] for _ in kinds]
             for i, body in enumerate(batch.column(1).to_pylist()):
                 body = body or b""

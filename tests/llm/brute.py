@@ -117,12 +117,12 @@ def edit_distance(a, b):
 
 
 def lines_removed(docs, edits=2, least=20, near=edit_distance):
-    """docs in table order."""
+    """docs in table order; equal lines of any length fold, others from ``least`` characters on."""
     found = [
         (NULL_FIRST(d), k, i, line.strip())
         for k, (d, t) in enumerate(docs)
         for i, line in enumerate((t or "").split("\n"))
-        if len(line.strip()) >= least
+        if line.strip()
     ]
     texts = sorted({f[3] for f in found}, key=len)
     pairs = []
@@ -130,7 +130,7 @@ def lines_removed(docs, edits=2, least=20, near=edit_distance):
         for y in range(x + 1, len(texts)):
             if len(texts[y]) - len(a) > edits:
                 break
-            if near(a, texts[y]) <= edits:
+            if len(a) >= least and near(a, texts[y]) <= edits:
                 pairs.append((x, y))
     label = dict(zip(texts, classes(len(texts), pairs)))
     first = {}

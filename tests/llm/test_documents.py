@@ -3,6 +3,7 @@
 import pytest
 
 from spokewise.llm import lines, queries, recurring, search, simhash
+from spokewise.llm.common import placed
 from tests.llm import brute, tables
 
 ITEMS = [(1, "the quick brown fox"), (None, "the quick"), (3, None), (4, ""), (4, "one two " * 20)]
@@ -40,8 +41,9 @@ def empty(spark, tmp_path_factory):
 
 
 def in_table_order(spark, folder):
-    """Rows as a scan gives them, which is the order that ties go by."""
-    return [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
+    """Rows in the order that ties go by."""
+    rows = placed(spark.read.parquet(f"{folder}/documents.parquet"), "doc_id", "text").orderBy("rid").collect()
+    return [tuple(r)[1:] for r in rows]
 
 
 def agree(result, wanted):

@@ -2,15 +2,11 @@
 
 from spokewise.llm import lines, queries
 from tests.llm import brute, tables
+from tests.llm.test_documents import in_table_order
 
 
-def lines_removed(docs, least=20):
-    """The brute force over all lines that are not blank, with ``least`` for links by edits alone."""
-
-    def near(a, b):
-        return 0 if min(len(a), len(b)) >= least and lines.within(a, b, 2) else 9
-
-    return brute.lines_removed(docs, least=1, near=near)
+def near(a, b):
+    return 0 if lines.within(a, b, 2) else 9
 
 
 def test_short_lines(spark, tmp_path):
@@ -19,8 +15,8 @@ def test_short_lines(spark, tmp_path):
     docs += [(4, "n" * 19 + "\n" + "n" * 20), (None, "Menu\n\n\n"), (None, None), (5, "Menu"), (5, "Menu"), (6, "")]
     docs += tables.documents()
     tables.write_documents(spark, str(tmp_path), docs)
-    scanned = spark.read.parquet(f"{tmp_path}/documents.parquet").select("doc_id", "text").collect()
-    wanted = lines_removed([tuple(r) for r in scanned])
+    wanted = brute.lines_removed(in_table_order(spark, str(tmp_path)), near=near)
     found = queries.op6_line_dedup(spark, str(tmp_path)).collect()
     assert tables.sorted_rows(found) == tables.sorted_rows(wanted)
-    assert sum(r.n_removed for r in found) > sum(n for _, _, n, _ in brute.lines_removed(docs, near=lambda a, b: 9))
+    long = [(d, t and "\n".join(x for x in t.split("\n") if len(x.strip()) >= 20)) for d, t in docs]
+    assert sum(r.n_removed for r in found) > sum(n for _, _, n, _ in brute.lines_removed(long, near=near))

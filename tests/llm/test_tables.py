@@ -130,9 +130,7 @@ def test_stages_decide_as_their_operators(spark, stages):
     _, toxic, lines_, copies, bench, packs = stages
     assert {r[0] for r in rows_of(toxic[1])} <= {r[0] for r in rows_of(toxic[0])}
     assert len(rows_of(toxic[1])) > 0.8 * len(rows_of(toxic[0]))
-    wanted = [(d, n) for d, _, n, _ in brute.lines_removed(rows_of(lines_[0]), near=quick)]
-    lost = [(d, len(a.split("\n"))) for d, a in rows_of(lines_[0]) if a is not None]
-    assert len(rows_of(lines_[1])) == len(rows_of(lines_[0])) and len(lost) <= len(wanted)
+    assert len(rows_of(lines_[1])) == len(rows_of(lines_[0]))
     assert len(rows_of(copies[1])) == len(set(brute.simhash_classes(rows_of(copies[0]))[1]))
     items = tables.read("benchmark", ["item_id", "text"])
     judged = brute.contamination(rows_of(bench[0]), items)
@@ -140,8 +138,3 @@ def test_stages_decide_as_their_operators(spark, stages):
     assert sorted((r[0] is not None, r[0]) for r in rows_of(bench[1])) == clean
     assert {r[0] for r in packs[1].select("doc_id").collect()} == {r[0] for r in rows_of(packs[0])}
 
-
-def quick(a, b):
-    from spokewise.llm.lines import within
-
-    return 0 if within(a, b, 2) else 9
