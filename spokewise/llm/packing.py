@@ -16,9 +16,12 @@ doc_id stays null. An empty table gives no pieces.
 
 from __future__ import annotations
 
+import sys
+import types
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spokewise.llm.common import small_batches
+from spokewise.llm.common import expand, small_batches
 from spokewise.session import stored
 
 LENGTH = 1024
@@ -37,8 +40,11 @@ MOST_WASTE = 0.004
 MOST_STEPS = 200
 #: The linear program ends this close to the bound of no waste at all.
 GAP = 5e-4
-#: A worker forgets its tokens beyond so many distinct ones.
-MOST_TOKENS_KNOWN = 1 << 18
+#: A worker forgets the older half of its words beyond so many different ones.
+MOST_TOKENS_KNOWN = 1 << 19
+#: Characters whose words are looked up together.
+GROUP_CHARACTERS = 1 << 19
+HASH_BASE = 0x9E3779B97F4A7C15
 
 CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
 
@@ -91,8 +97,10 @@ def byte_letters() -> dict[int, str]:
 
 
 class Encoder:
-    """Token ids of texts; a word's ids are remembered, as words do not influence each other.
+    """Token ids of texts, a word at a time, as words do not influence each other.
 
+    The words of some texts are told apart by hashes of their characters, checked character by
+    character, so that each different word is cut out and looked up once; its ids are remembered.
     Texts that hold a special token, and tokenizers of another make than byte-level pairs, go through
     the tokenizer whole.
     """
@@ -108,24 +116,113 @@ class Encoder:
         self.kinds = character_kinds() if self.by_word else None
         self.letters = "".join(byte_letters()[b] for b in range(256))
         self.known: dict[str, bytes] = {}
+        self.powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
     def _ids(self, word: str) -> bytes:
         letters = word.encode().decode("latin-1").translate(self.letters)
         return array(self.code, [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
 
-    def encode(self, text: str) -> np.ndarray:
-        if not self.by_word or any(s in text for s in self.special):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.width)
-        points = np.frombuffer(text.encode("utf-32-le"), "<u4")
-        starts = words_from(points, self.kinds).tolist()
-        words = [text[a:b] for a, b in zip(starts, [*starts[1:], len(text)])]
+    def _look_up(self, words: list[str]) -> list[bytes]:
         out = list(map(self.known.get, words))
         for i, ids in enumerate(out):
             if ids is None:
-                if len(self.known) >= MOST_TOKENS_KNOWN:
-                    self.known.clear()
+                if len(self.known) >= MOST_TOKENS_KNOWN:  # the older half goes
+                    self.known = dict(islice(self.known.items(), len(self.known) // 2, None))
                 self.known[words[i]] = out[i] = self._ids(words[i])
-        return np.frombuffer(b"".join(out), self.width)
+        return out
+
+    def _hashes(self, points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """A hash of the characters of each word, whatever its place."""
+        n = len(points)
+        if len(self.powers[0]) <= n:
+            for k, base in enumerate((HASH_BASE, pow(HASH_BASE, -1, 1 << 64))):
+                table = np.full(n + 1, base, dtype=np.uint64)
+                table[0] = 1
+                self.powers[k] = np.multiply.accumulate(table)
+        sums = np.zeros(n + 1, dtype=np.uint64)
+        np.cumsum((points + np.uint32(1)) * self.powers[0][:n], out=sums[1:])
+        found = (sums[ends] - sums[starts]) * self.powers[1][starts]
+        return found ^ (found >> np.uint64(31)) ^ ((ends - starts).astype(np.uint64) << np.uint64(48))
+
+    def _encode_words(self, text: str, points: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of ids of each word) of a text whose words begin at ``starts``, the first at 0."""
+        ends = np.append(starts[1:], len(points))
+        lengths = ends - starts
+        _, first, which = np.unique(self._hashes(points, starts, ends), return_index=True, return_inverse=True)
+        owner, offset = expand(lengths)
+        same = (lengths == lengths[first][which]).all()
+        if not (same and (points == points[starts[first][which][owner] + offset]).all()):
+            first = which = np.arange(len(starts))  # two words with one hash
+        cut = [text[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
+        found = self._look_up(cut)
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // self.width.itemsize
+        begins = np.cumsum(sizes) - sizes
+        owner, offset = expand(sizes[which])
+        return np.frombuffer(b"".join(found), self.width)[begins[which][owner] + offset], sizes[which]
+
+    def _whole(self, text: str) -> bool:
+        return not self.by_word or any(s in text for s in self.special)
+
+    def encode(self, text: str) -> np.ndarray:
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text."""
+        out: list = [None] * len(texts)
+        group: list[tuple[int, str, np.ndarray, np.ndarray]] = []
+        size = 0
+        for i, text in enumerate(texts):
+            if self._whole(text):
+                out[i] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.width)
+                continue
+            points = np.frombuffer(text.encode("utf-32-le"), "<u4")
+            starts = words_from(points, self.kinds)
+            if len(points) > GROUP_CHARACTERS:
+                out[i] = self._long(text, points, starts)
+                continue
+            group.append((i, text, points, starts))
+            size += len(points)
+            if size >= GROUP_CHARACTERS:
+                self._settle(group, out)
+                group, size = [], 0
+        self._settle(group, out)
+        return out
+
+    def _settle(self, group: list, out: list) -> None:
+        group, none = [g for g in group if len(g[3])], [g for g in group if not len(g[3])]
+        for i, *_ in none:
+            out[i] = np.empty(0, self.width)
+        if not group:
+            return
+        at = np.cumsum([0] + [len(points) for _, _, points, _ in group])
+        starts = np.concatenate([starts + begin for (_, _, _, starts), begin in zip(group, at)])
+        text, points = "".join(g[1] for g in group), np.concatenate([g[2] for g in group])
+        ids, sizes = self._encode_words(text, points, starts)
+        words = np.cumsum([0] + [len(g[3]) for g in group])
+        cuts = np.concatenate(([0], np.cumsum(sizes)))[words]
+        for k, (i, *_) in enumerate(group):
+            out[i] = ids[cuts[k] : cuts[k + 1]]
+
+    def _long(self, text: str, points: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """A long text, by stretches of words."""
+        found, k = [], 0
+        while k < len(starts):
+            after = max(k + 1, int(np.searchsorted(starts, starts[k] + GROUP_CHARACTERS)))
+            a, b = int(starts[k]), int(starts[after]) if after < len(starts) else len(points)
+            found.append(self._encode_words(text[a:b], points[a:b], starts[k:after] - a)[0])
+            k = after
+        return np.concatenate(found)
+
+
+def worker_encoder(path: str) -> Encoder:
+    """One encoder for each worker process and tokenizer, which outlives a task.
+
+    Tasks get this module by value, so it is kept under a name of its own.
+    """
+    kept = sys.modules.setdefault("_spokewise_encoders", types.ModuleType("_spokewise_encoders"))
+    if path not in vars(kept):
+        setattr(kept, path, Encoder(path))
+    return getattr(kept, path)
 
 
 def crc(ids: np.ndarray) -> int:
@@ -140,23 +237,25 @@ def tokenize(documents: DataFrame, tokenizer_path: str, length: int = LENGTH) ->
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer_path)
+        encoder = worker_encoder(tokenizer_path)
         part, seen = TaskContext.get().partitionId(), np.zeros(length, dtype=np.int64)
         names = ["doc_id", "start", "size", "crc", "doc_tokens", "part", "number", "ids"]
         kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
         for batch in small_batches(batches):
             row, out = [], [[] for _ in kinds]
-            for i, text in enumerate(batch.column(1).to_pylist()):
-                ids = np.append(encoder.encode(text or ""), np.array([END_ID], dtype=encoder.width))
+            for i, ids in enumerate(encoder.encode_all([t or "" for t in batch.column(1).to_pylist()])):
+                ids = np.append(ids, np.array([END_ID], dtype=encoder.width))
+                written = memoryview(ids.astype("<u4").tobytes())
                 for start in range(0, len(ids), length):
-                    piece = ids[start : start + length]
-                    rest = len(piece) < length
-                    number = int(seen[len(piece)]) if rest else 0
+                    size = min(length, len(ids) - start)
+                    rest = size < length
+                    number = int(seen[size]) if rest else 0
                     if rest:
-                        seen[len(piece)] += 1
+                        seen[size] += 1
                     row.append(i)
-                    body = piece.tobytes() if rest else None
-                    for column, value in zip(out, (start, len(piece), crc(piece), len(ids), part, number, body)):
+                    body = ids[start:].tobytes() if rest else None
+                    checked = zlib.crc32(written[4 * start : 4 * (start + size)])
+                    for column, value in zip(out, (start, size, checked, len(ids), part, number, body)):
                         column.append(value)
             columns = [batch.column(0).take(pa.array(row, pa.int64()))]
             yield pa.RecordBatch.from_arrays([*columns, *(pa.array(v, k) for v, k in zip(out, kinds))], names=names)
