@@ -25,11 +25,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spokewise.llm.common import expand, runs
+from spokewise.llm.common import expand, runs, small_batches
 
 WINDOW = 13
 #: Words of one shard, but for a single longer document.
-SHARD_WORDS = 2_000_000
+SHARD_WORDS = 500_000
 #: Benchmark bytes whose phrases are searched at a time; a larger benchmark is cut into blocks.
 BLOCK_BYTES = 4_000_000
 SAMPLE = 16
@@ -275,22 +275,27 @@ def decontaminate(
         mine = items.where(F.pmod(F.xxhash64("item", "body"), F.lit(parts)) == part).collect()
         blocks.append(spark.sparkContext.broadcast(compile_phrases([(r[0], bytes(r[1])) for r in mine], window)))
 
+    # the text goes to the workers once, kept or not
+    inside = "text" in keep
+    columns = [F.col(f"`{c}`") for c in keep]
+    if not inside:
+        columns.append(F.col("text").cast("binary").alias("__body"))
+    text_at = keep.index("text") if inside else len(keep)
+
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, texts, size = [], [], 0
 
         def finish() -> pa.RecordBatch:
-            columns = pa.Table.from_batches(rows).combine_chunks().to_batches()[0]
-            return pa.RecordBatch.from_arrays(
-                [*columns.columns, _judge_shard(texts, blocks)], names=[*columns.schema.names, result]
-            )
+            done = pa.Table.from_batches(rows).combine_chunks().to_batches()[0]
+            return pa.RecordBatch.from_arrays([*done.columns, _judge_shard(texts, blocks)], names=[*keep, result])
 
-        for batch in batches:
-            bodies = [t or b"" for t in batch.column(batch.num_columns - 1).to_pylist()]
+        for batch in small_batches(batches):
+            bodies = [t or b"" for t in batch.column(text_at).cast(pa.binary()).to_pylist()]
             begin = 0
             for i, body in enumerate(bodies):
                 size += len(body)
                 if size >= 6 * SHARD_WORDS or i == len(bodies) - 1:
-                    rows.append(batch.slice(begin, i + 1 - begin).select(range(batch.num_columns - 1)))
+                    rows.append(batch.slice(begin, i + 1 - begin).select(range(len(keep))))
                     texts += bodies[begin : i + 1]
                     begin = i + 1
                     if size >= 6 * SHARD_WORDS:
@@ -300,5 +305,4 @@ def decontaminate(
             yield finish()
 
     schema = T.StructType([*[documents.schema[c] for c in keep], T.StructField(result, RESULT)])
-    body = F.col("text").cast("binary").alias("__body")
-    return documents.select(*keep, body).mapInArrow(judge, schema)
+    return documents.select(*columns).mapInArrow(judge, schema)
