@@ -6,13 +6,21 @@ mean little, also link if at most ``EDITS`` single-character edits turn one into
 lines that reach each other by links the earliest stays (smallest id, then place in the table, then
 line number) and the others go.
 
-Equal lines are folded by their ids, without keys. A line of LEAST characters or more is cut into EDITS + 1 even segments; whatever EDITS edits do, one segment survives at a place
-that the lengths bound. So each different line is stored under its segments (length, number, text)
-and probes the substrings that could equal a segment of a line no longer than itself. Keys
-that meet make candidates, which are verified by a bit-parallel edit distance: for each number
-of edits one word whose bits are the ``2 EDITS + 1`` diagonals of the band. Equal lines are folded before; a key's lines yield a spanning set of links,
-never all pairs. Keys with more than ``MOST_IN_KEY`` lines pass into the next round, where
-they are dealt out by a second surviving piece, until only equal lines could share a key.
+Equal lines are folded by their ids, without keys. A line of ``least`` characters or more is cut into
+EDITS + 1 even segments; whatever EDITS edits do, one segment survives at a place that the lengths
+bound. So each different line is stored under its segments (length, number, text) and probes the
+substrings that could equal a segment of a line no longer than itself. Keys that meet make
+candidates, which are verified by a bit-parallel edit distance: for each number of edits one word
+whose bits are the ``2 EDITS + 1`` diagonals of the band. A key's lines yield a spanning set of
+links, never all pairs, and a key is done as soon as its lines are connected.
+
+Lines made from one template share segments in any number. A key with more than ``MOST_IN_KEY`` lines
+is put off until the others have been verified and goes on only if its lines are still in several
+classes. What all its lines have in common at their ends is stripped, which leaves edit distances as
+they are; keys with the same lines become one; what is left is cut into segments again. Where
+nothing can be stripped, the shared segment gives way to a line break, which shortens the rest by a
+third. This ends when no key is crowded: rests of up to ``2 EDITS`` characters, which have too few
+segments, and those that share nothing but line breaks are compared in one go.
 
 Null texts are empty and come back null; the number of lines of a text that loses some falls, and
 a text may become empty. Rows with equal ids are told apart by their place in the table: see
@@ -33,12 +41,10 @@ from spokewise.llm.common import connected_components, id_key, placed, small_bat
 from spokewise.session import stored
 
 EDITS = 2
-#: Characters that a line must have to link with lines that differ from it.
+#: Characters that a line must have to link with lines that differ from it, unless the caller says otherwise.
 LEAST = 20
 #: Lines of one key that are compared with each other in one go.
 MOST_IN_KEY = 1000
-#: Rounds of dealing out keys beyond that; the last one compares whatever shares its key.
-ROUNDS = 3
 
 
 PLACES: dict[tuple[int, int], list[tuple[int, int, int, bool]]] = {}
@@ -160,8 +166,8 @@ def _occurrences(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "half long, id binary, k1 long, rid binary, number int")
 
 
-def _keys(rows: DataFrame, edits: int) -> DataFrame:
-    """(key, mark) of the lines that are long enough; mark is the line's half id and, in the lowest bit, own.
+def _keys(rows: DataFrame, edits: int, least: int) -> DataFrame:
+    """(key, mark) of the lines of ``least`` characters or more; mark is the line's half id and, in the lowest bit, own.
 
     A task gives the keys of a line once, however often it meets the line.
     """
@@ -172,7 +178,7 @@ def _keys(rows: DataFrame, edits: int) -> DataFrame:
             keys, marks = [], []
             for body in batch.column(0).to_pylist():
                 for _, line in _lines(body):
-                    if len(line) < LEAST:
+                    if len(line) < least:
                         continue
                     half = _half(line_id(line))
                     if half in known:
@@ -251,7 +257,7 @@ def _meetings(keys: DataFrame) -> DataFrame:
 
 
 def _texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(meeting, crowded, id, line, rest) of the lines in ``wanted`` (rid, number, meeting, crowded)."""
+    """(meeting, crowded, id, rest) of the lines in ``wanted`` (rid, number, meeting, crowded)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, 500):
@@ -263,121 +269,202 @@ def _texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
                     for column, value in zip(out, (c["meeting"], c["crowded"], line_id(line), line)):
                         column.append(value)
             kinds = [pa.int64(), pa.bool_(), pa.binary(), pa.string()]
-            columns = [pa.array(c, k) for c, k in zip(out, kinds)]
-            names = ["meeting", "crowded", "id", "line", "rest"]
-            yield pa.RecordBatch.from_arrays([*columns, columns[-1]], names=names)
+            names = ["meeting", "crowded", "id", "rest"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=names)
 
     lists = wanted.groupBy("rid").agg(F.collect_list(F.struct("number", "meeting", "crowded")).alias("chosen"))
-    schema = "meeting long, crowded boolean, id binary, line string, rest string"
+    schema = "meeting long, crowded boolean, id binary, rest string"
     return rows.select("rid", "text").join(lists, "rid").select("text", "chosen").mapInArrow(run, schema)
 
 
-def _deeper(crowded: DataFrame, edits: int) -> DataFrame:
-    """Rows of a crowded meeting under keys of what is left of the line without the shared segment."""
+def spanning_links(members: list[tuple], edits: int) -> list[tuple]:
+    """(a, b) of ids that link and connect the same classes as all pairs do; members are (id, class, text)."""
+    number: dict = {}
+    label = [number.setdefault(c, len(number)) for _, c, _ in members]
+    parts = list(range(len(number)))
+    left, out = len(parts), []
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, 2000):
-            out: list[list] = [[] for _ in range(5)]
-            for meeting, salt, digest, line, rest in zip(*(batch.column(i).to_pylist() for i in range(5))):
-                key = meeting % (1 << 64)
-                for (found, _), (_, a, b, _) in zip(keys_of(rest, edits, salt), places(len(rest), edits)):
-                    if found != key:
-                        continue
-                    left = rest[:a] + "\n" + rest[b:]
-                    for deeper, _ in keys_of(left, edits, key >> 1):
-                        signed = deeper - (1 << 64) if deeper >> 63 else deeper
-                        for column, value in zip(out, (signed, key >> 1, digest, line, left)):
-                            column.append(value)
-            kinds = [pa.int64(), pa.int64(), pa.binary(), pa.string(), pa.string()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(out, kinds)], names=["meeting", "salt", "id", "line", "rest"]
-            )
+    def root(k: int) -> int:
+        while parts[k] != k:
+            parts[k] = k = parts[parts[k]]
+        return k
 
-    columns = ["meeting", "salt", "id", "line", "rest"]
-    return crowded.select(*columns).mapInArrow(run, "meeting long, salt long, id binary, line string, rest string")
+    order = sorted(range(len(members)), key=lambda k: len(members[k][2]))
+    for x, i in enumerate(order):
+        if left == 1:
+            break
+        text = members[i][2]
+        mine = root(label[i])
+        for j in order[x + 1 :]:
+            if len(members[j][2]) - len(text) > edits:
+                break
+            other = root(label[j])
+            if other != mine and within(text, members[j][2], edits):
+                parts[other] = mine
+                out.append((members[i][0], members[j][0]))
+                left -= 1
+    return out
 
 
-def _verified(meetings: DataFrame, edits: int, final: bool) -> DataFrame:
-    """(a, b) links; rows of meetings beyond MOST_IN_KEY come back as they are, unless ``final``."""
+def _verified(meetings: DataFrame, edits: int) -> DataFrame:
+    """(a, b) links within meetings; ``meetings`` is (meeting, id, class, rest)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["a", "b", "meeting", "salt", "line", "rest"]
-        kinds = [pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.string(), pa.string()]
         out: list[tuple] = []
-        now, lines, passing = None, {}, False
-
-        def settle() -> None:
-            ids, texts = list(lines), [line for _, line, _ in lines.values()]
-            label = list(range(len(ids)))
-
-            def root(k: int) -> int:
-                while label[k] != k:
-                    label[k] = k = label[label[k]]
-                return k
-
-            order = sorted(range(len(ids)), key=lambda k: len(texts[k]))
-            for x, i in enumerate(order):
-                for j in order[x + 1 :]:
-                    if len(texts[j]) - len(texts[i]) > edits:
-                        break
-                    ri, rj = root(i), root(j)
-                    if ri != rj and within(texts[i], texts[j], edits):
-                        label[max(ri, rj)] = min(ri, rj)
-                        out.append((ids[i], ids[j], None, None, None, None))
-
-        def pass_on() -> None:
-            out.extend((digest, None, now, salt, line, rest) for digest, (salt, line, rest) in lines.items())
-
-        def batch_of() -> pa.RecordBatch:
-            done = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
-            out.clear()
-            return done
-
+        now, members = None, {}
         for batch in small_batches(batches, 2000):
-            for meeting, salt, digest, line, rest in zip(*(batch.column(i).to_pylist() for i in range(5))):
+            for meeting, digest, known, rest in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 if meeting != now:
-                    pass_on() if passing else settle()
-                    now, lines, passing = meeting, {}, False
-                lines[digest] = (salt, line, rest)
-                if len(lines) > MOST_IN_KEY and not final:
-                    passing = True
-                    pass_on()
-                    lines = {}
+                    out += spanning_links(list(members.values()), edits)
+                    now, members = meeting, {}
+                members[digest, rest] = (digest, known, rest)
             if len(out) > 5000:
-                yield batch_of()
-        pass_on() if passing else settle()
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*out)], names=["a", "b"])
+                out = []
+        out += spanning_links(list(members.values()), edits)
         if out:
-            yield batch_of()
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*out)], names=["a", "b"])
+
+    dealt = meetings.select("meeting", "id", "class", "rest").repartition("meeting").sortWithinPartitions("meeting", "id")
+    return dealt.mapInArrow(run, "a binary, b binary")
+
+
+def common_start(a: str, b: str) -> int:
+    n = 0
+    for x, y in zip(a, b):
+        if x != y:
+            break
+        n += 1
+    return n
+
+
+def _stripped(crowded: DataFrame, edits: int) -> DataFrame:
+    """``crowded`` (meeting, salt, id, class, rest) with shorter rests, and one meeting for each set of them.
+
+    The least and the greatest rest of a meeting have the beginning in common that all have; the
+    least and greatest of the reversed ones, the end. Where there is none, the segment that made the key is
+    replaced by a line break.
+    """
 
-    dealt = meetings.select("meeting", "salt", "id", "line", "rest")
-    dealt = dealt.repartition("meeting").sortWithinPartitions("meeting", "id")
-    return dealt.mapInArrow(run, "a binary, b binary, meeting long, salt long, line string, rest string")
+    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, 2000):
+            out: list[list] = [[], []]
+            for low, high, low_end, high_end, shortest in zip(*(c.to_pylist() for c in batch.columns[1:])):
+                start = min(common_start(low, high), shortest)
+                out[0].append(start)
+                out[1].append(min(common_start(low_end, high_end), shortest - start))
+            columns = [batch.column(0), *(pa.array(v, pa.int32()) for v in out)]
+            yield pa.RecordBatch.from_arrays(columns, names=["meeting", "start", "end"])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["meeting", "id", "class", "rest"]
+        for batch in small_batches(batches, 2000):
+            out: list[list] = [[] for _ in names]
+            columns = [batch.column(c).to_pylist() for c in ("meeting", "salt", "id", "class", "rest", "start", "end")]
+            for meeting, salt, digest, known, rest, start, end in zip(*columns):
+                rests = {rest[start : len(rest) - end]}
+                if not start and not end:
+                    keys = zip(keys_of(rest, edits, salt), places(len(rest), edits))
+                    rests = {rest[:a] + "\n" + rest[b:] for (key, _), (_, a, b, _) in keys if key == meeting % (1 << 64)}
+                for left in rests:
+                    for column, value in zip(out, (meeting, digest, known, left)):
+                        column.append(value)
+            kinds = [pa.int64(), pa.binary(), pa.binary(), pa.string()]
+            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds)], names=names)
+
+    bounds = crowded.groupBy("meeting").agg(
+        F.min("rest"), F.max("rest"), F.min(F.reverse("rest")), F.max(F.reverse("rest")), F.min(F.char_length("rest"))
+    )
+    bounds = bounds.mapInArrow(ends, "meeting long, start int, end int")
+    shorter = crowded.join(bounds, "meeting").mapInArrow(cut, "meeting long, id binary, class binary, rest string")
+    shorter = stored(shorter, "line-rests")
+    member = F.xxhash64("id", "rest")
+    sets = shorter.groupBy("meeting").agg(
+        F.count("*").alias("n"), F.bit_xor(member).alias("mixed"), F.bit_xor(F.xxhash64(member)).alias("again")
+    )
+    chosen = sets.groupBy("n", "mixed", "again").agg(F.min("meeting").alias("meeting")).select("meeting")
+    return shorter.join(chosen, "meeting", "left_semi")
+
+
+def _rekeyed(shorter: DataFrame, edits: int) -> DataFrame:
+    """(meeting, salt, tiny, own, id, class, rest): rests under the keys of their segments within their meeting."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["meeting", "salt", "tiny", "own", "id", "class", "rest"]
+        kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.binary(), pa.binary(), pa.string()]
+        for batch in small_batches(batches, 1000):
+            out: list[list] = [[] for _ in names]
+            for meeting, digest, known, rest in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                salt = (meeting % (1 << 64)) >> 1
+                cuts = zip(keys_of(rest, edits, salt), places(len(rest), edits))
+                keys = list({(key, not rest[a:b].strip("\n"), own) for (key, own), (_, a, b, _) in cuts})
+                if len(rest) <= 2 * edits:
+                    keys.append((xxhash.xxh64_intdigest(b"tiny", salt), True, True))
+                for key, tiny, own in keys:
+                    signed = key - (1 << 64) if key >> 63 else key
+                    for column, value in zip(out, (signed, salt, tiny, own, digest, known, rest)):
+                        column.append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds)], names=names)
+
+    schema = "meeting long, salt long, tiny boolean, own boolean, id binary, class binary, rest string"
+    return shorter.select("meeting", "id", "class", "rest").mapInArrow(run, schema)
 
 
-def line_classes(rows: DataFrame, occurrences: DataFrame, edits: int = EDITS) -> DataFrame:
+def _in_classes(crowded: DataFrame, links: DataFrame) -> DataFrame:
+    """``crowded`` with the class of each line by the links so far, without meetings of one class."""
+    classes = connected_components(links, "line-components").select("id", F.col("root").alias("class"))
+    known = crowded.drop("class").join(classes, "id", "left").withColumn("class", F.coalesce("class", "id"))
+    known = stored(known, "line-crowded")
+    open_ = known.groupBy("meeting").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high")
+    return known.join(open_.select("meeting"), "meeting", "left_semi")
+
+
+def line_classes(rows: DataFrame, occurrences: DataFrame, edits: int = EDITS, least: int = LEAST) -> DataFrame:
     """(id, root) of the lines that link with another one."""
-    met = stored(_meetings(_keys(rows, edits)), "line-meetings")
+    met = stored(_meetings(_keys(rows, edits, least)), "line-meetings")
     first = occurrences.join(met.select("half").distinct(), "half").groupBy("half", "id")
     place = first.agg(F.min(F.struct("k1", "rid", "number")).alias("at")).select("half", "at.rid", "at.number")
-    wanted = met.join(place, "half").select("rid", "number", "meeting", "crowded")
-    now = _texts(rows, wanted).withColumn("salt", F.lit(0).cast("long"))
-    edges = None
-    for k in range(ROUNDS + 1):
-        found = stored(_verified(now, edits, k == ROUNDS), "line-links")
-        links = found.where("b IS NOT NULL").select("a", "b")
-        edges = links if edges is None else edges.union(links)
-        left = found.where("b IS NULL").withColumnRenamed("a", "id")
-        if not left.head(1):
+    member = F.xxhash64("half")
+    sets = met.where("crowded").groupBy("meeting").agg(
+        F.count("*").alias("n"), F.bit_xor(member).alias("mixed"), F.bit_xor(F.xxhash64(member)).alias("again")
+    )
+    chosen = sets.groupBy("n", "mixed", "again").agg(F.min("meeting").alias("meeting")).select("meeting")
+    many = met.where("crowded").join(chosen, "meeting", "left_semi")
+    wanted = met.where("NOT crowded").unionByName(many).join(place, "half").select("rid", "number", "meeting", "crowded")
+    texts = stored(_texts(rows, wanted).withColumn("class", F.col("id")), "line-texts")
+    links = stored(_verified(texts.where("NOT crowded"), edits), "line-links")
+    crowded = texts.where("crowded").withColumn("salt", F.lit(0).cast("long"))
+    while crowded.head(1):
+        open_ = stored(_in_classes(crowded, links), "line-open")
+        if not open_.head(1):
             break
-        now = _deeper(left, edits)
-    return connected_components(edges, "line-components")
+        keyed = stored(_rekeyed(_stripped(open_, edits), edits), "line-rekeyed")
+        sizes = keyed.groupBy("meeting").agg(
+            F.count("*").alias("n"),
+            F.max("own").alias("met"),
+            F.min("class").alias("low"),
+            F.max("class").alias("high"),
+        )
+        sizes = sizes.where("met AND low < high AND n > 1").select("meeting", "n")
+        judged = stored(keyed.join(sizes, "meeting"), "line-judged")
+        few = (F.col("n") <= MOST_IN_KEY) | F.col("tiny")
+        links = links.union(stored(_verified(judged.where(few), edits), "line-links"))
+        crowded = judged.where(~few).select("meeting", "salt", "id", "class", "rest")
+    return connected_components(links, "line-components")
 
 
 def dedupe_lines(
-    documents: DataFrame, keep: list[str], edits: int = EDITS, counts: tuple[str, str] = ("n_lines", "n_removed")
+    documents: DataFrame,
+    keep: list[str],
+    edits: int = EDITS,
+    counts: tuple[str, str] = ("n_lines", "n_removed"),
+    least: int = LEAST,
 ) -> DataFrame:
     """The columns ``keep`` of every document, its text without repeated lines, and the counts.
 
+    Equal lines link at any length; lines that differ, by up to ``edits`` edits, only from ``least``
+    characters on, 20 by default.
+
     ``text`` is replaced; the columns named by ``counts``, lines before and lines lost, are added, or
     replace kept columns of these names.
     """
@@ -385,7 +472,7 @@ def dedupe_lines(
     kept = [F.col(f"`{c}`").alias(f"keep_{i}") for i, c in enumerate(keep)]
     rows = placed(documents, id_key().alias("k1"), F.col("text").cast("string").alias("text"), *kept)
     occurrences = stored(_occurrences(rows.select("rid", "k1", "text")), "line-occurrences")
-    classes = line_classes(rows, occurrences, edits)
+    classes = line_classes(rows, occurrences, edits, least)
     named = occurrences.join(classes, "id", "left").select(
         F.coalesce("root", "id").alias("root"), F.struct("k1", "rid", "number").alias("at")
     )
