@@ -102,6 +102,7 @@ def op9_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
         *counts,
         F.sha2(private.written(F.col("base")), 256).alias("base_sha256"),
         private.written(private.in_kind_order(F.col("base"), F.col("added"))).alias("spans"),
+        (F.size("base") + F.size("added")).cast("long").alias("n_spans"),
     )
 
 

@@ -123,6 +123,7 @@ def test_private(spark, folder, docs):
         spans.setdefault((w[0], w[5]), w[6])
     for r in rows:
         assert set(spans[r.doc_id, r.base_sha256]) <= set(r.spans.split(",")) | {""}
+        assert r.n_spans == len([s for s in r.spans.split(",") if s])
 
 
 @pytest.mark.parametrize("name", [n for n in queries.QUERIES if n.split("_")[0] not in ("op5", "op7", "op11")])
