@@ -13,7 +13,10 @@ from spokewise.sources.tables import read_csv
 #: From narrow to wide; every later type reads what an earlier number type reads, and text reads all.
 LATTICE = ("boolean", "int", "bigint", "double", "date", "timestamp_ntz", "string")
 
-# The written forms of dates and times; a cast alone would take a bare year for a date.
+# The written forms of values. A cast alone would take a bare year for a date, and a
+# failing cast is dear, so texts of another form are not cast.
+WHOLE_FORM = r"^\s*[+-]?\d+\s*$"
+NUMBER_FORM = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?[df]?|nan|inf|infinity)\s*$"
 DATE_FORM = r"^\d{4}-\d{2}-\d{2}$"
 TIME_FORM = r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}:\d{2}(\.\d+)?)?$"
 
@@ -24,6 +27,10 @@ def readable(column: str, type_name: str) -> Column:
     if type_name == "boolean":
         return F.lower(text).isin("true", "false")
     fits = text.try_cast(type_name).isNotNull()
+    if type_name in ("int", "bigint"):
+        return text.rlike(WHOLE_FORM) & fits
+    if type_name == "double":
+        return text.rlike(NUMBER_FORM) & fits
     if type_name == "date":
         return text.rlike(DATE_FORM) & fits
     if type_name == "timestamp_ntz":
