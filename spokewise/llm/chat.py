@@ -7,13 +7,14 @@ character and backslashes are doubled, so no control string is left in them and
 exact. A conversation that does not end with an assistant turn has one more example, without a
 trainable part, so that no turn is lost.
 
-The examples of a conversation are prefixes of one another, so a conversation of n turns would take
-n²/2 turns to write out. The tables keep each formatted turn once, in ``pieces``; an example names
-the prefix it shows and the span of it that is trained. ``render`` writes examples out.
+An example is written as its turns, one row each, so that no task has to hold a long one; ``render`` joins
+them. A turn is repeated for every example from its own on, where it lies: the expanded text is not
+shuffled, and as the copies of a turn follow each other, files hold little more than the turns.
 
 Turns are ordered by turn, then role, then text, nulls first; repeated rows stay. Null roles and
-texts are empty. Rows with a null conv_id form one conversation. Turns of one conversation stream
-through a task one after another and are never held together.
+texts are empty. Rows with a null conv_id form one conversation. Turns are dealt out by range, so a long
+conversation takes several tasks, which continue each other's counts. ``read_back`` alone streams
+a conversation through one task, since the digest of its turns has no parts.
 """
 
 from __future__ import annotations
@@ -23,9 +24,12 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from spokewise.llm.common import small_batches
+from spokewise.session import stored
+
 OPEN, CLOSE, END = "[INST]", "[/INST]", "</s>"
 ASSISTANT = "assistant"
 
@@ -44,78 +48,108 @@ def format_turns(conversations: DataFrame) -> DataFrame:
 
 
 def in_order(turns: DataFrame) -> DataFrame:
-    """Turns of one conversation in one task, in order."""
-    return turns.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-
-
-class Prefix:
-    """What is known of a conversation's formatted text up to the turn just read."""
-
-    def __init__(self) -> None:
-        self.turns = self.chars = self.examples = self.examples_chars = self.pending = 0
-
-    def add(self, formatted: str, role: str) -> tuple[int, int] | None:
-        """Take the next turn; the trained span of its example if it is an assistant's."""
-        start = self.chars
-        self.turns, self.chars = self.turns + 1, start + len(formatted)
-        if role != ASSISTANT:
-            self.pending = 1
-            return None
-        self.pending, self.examples = 0, self.examples + 1
-        self.examples_chars += self.chars
-        return start + formatted.index(CLOSE) + len(CLOSE), self.chars - len(END)
+    """Turns in order, dealt out by range; equal beginnings of role and text stay in one task."""
+    near = [F.substring(c, 1, 32) for c in ("role", "text")]
+    return turns.repartitionByRange("conv_id", "turn", *near).sortWithinPartitions("conv_id", "turn", "role", "text")
 
 
-def pieces(conversations: DataFrame) -> DataFrame:
-    """(conv_id, piece, formatted, start, loss_start, loss_end): each turn once, in order.
+def _counted(turns: DataFrame) -> DataFrame:
+    """(part, conv_id, formatted, loss, at, chars, answers): turns and what its task saw of the conversation before.
 
-    start is the code point where the turn begins in the conversation's formatted text. An assistant
-    turn is the target of an example: its context is [0, start), and [loss_start, loss_end) is
-    trained. Both are null for other turns. The last turn of a conversation that no assistant ends
-    closes an example without a trained part.
+    loss is the place of the trained text in an assistant's turn, null for others.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        conv, prefix = object(), Prefix()
+        conv, at, chars, answers = object(), 0, 0, 0
         for batch in batches:
             out: list[list] = [[] for _ in range(4)]
-            for c, role, formatted in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            for c, role, formatted in zip(*(batch.column(i).to_pylist() for i in range(1, 4))):
                 if c != conv:
-                    conv, prefix = c, Prefix()
-                number, start = prefix.turns, prefix.chars
-                span = prefix.add(formatted, role) or (None, None)
-                for column, value in zip(out, (number, start, *span)):
+                    conv, at, chars, answers = c, 0, 0, 0
+                trained = formatted.index(CLOSE) + len(CLOSE) if role == ASSISTANT else None
+                for column, value in zip(out, (trained, at, chars, answers)):
                     column.append(value)
-            columns = [batch.column(0), pa.array(out[0], pa.int64()), batch.column(2)]
-            columns += [pa.array(v, pa.int64()) for v in out[1:]]
-            yield pa.RecordBatch.from_arrays(
-                columns, names=["conv_id", "piece", "formatted", "start", "loss_start", "loss_end"]
-            )
+                at, chars, answers = at + 1, chars + len(formatted), answers + (trained is not None)
+            columns = [batch.column(0), batch.column(1), batch.column(3), *(pa.array(v, pa.int64()) for v in out)]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    names = ["part", "conv_id", "formatted", "loss", "at", "chars", "answers"]
+    kind = turns.schema["conv_id"].dataType.simpleString()
+    schema = f"part int, conv_id {kind}, formatted string, loss long, at long, chars long, answers long"
+    return (
+        in_order(turns)
+        .select(F.spark_partition_id().alias("part"), "conv_id", "role", "formatted")
+        .mapInArrow(run, schema)
+    )
 
-    ordered = in_order(format_turns(conversations)).select("conv_id", "role", "formatted")
-    kind = conversations.schema["conv_id"].dataType.simpleString()
-    schema = f"conv_id {kind}, piece long, formatted string, start long, loss_start long, loss_end long"
-    return ordered.mapInArrow(run, schema)
 
+def pieces(conversations: DataFrame) -> DataFrame:
+    """(conv_id, piece, formatted, start, loss_start, loss_end, example, n_examples): each turn once.
 
-def render(written: DataFrame) -> DataFrame:
-    """(conv_id, example, text, loss_start, loss_end) of ``pieces``, written out in full.
+    start is the code point where the turn begins in every example that shows it; example is the first
+    of these, the last one is n_examples - 1. For an assistant turn, the target of its first example,
+    [loss_start, loss_end) is trained; both are null for other turns.
+    """
+    counted = stored(_counted(format_turns(conversations)), "chat-turns")
+    # one row for each conversation and task, without texts
+    seen = counted.groupBy("part", "conv_id").agg(
+        F.count("*").alias("turns"),
+        F.sum(F.char_length("formatted")).alias("length"),
+        F.count("loss").alias("targets"),
+        F.max(F.struct("at", F.col("loss").isNull().alias("open"))).alias("end"),
+    )
+    whole = Window.partitionBy("conv_id")
+    before = whole.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+
+    def earlier(column: str) -> Column:
+        return F.coalesce(F.sum(column).over(before), F.lit(0)).alias(f"earlier_{column}")
+
+    open_ = F.max(F.struct("part", "end.open")).over(whole)["open"].cast("long")
+    bases = seen.select(
+        F.col("part").alias("p"),
+        F.col("conv_id").alias("c"),
+        *(earlier(c) for c in ("turns", "length", "targets")),
+        (F.sum("targets").over(whole) + open_).alias("n_examples"),
+    )
+    told = counted.join(bases, (F.col("part") == F.col("p")) & F.col("conv_id").eqNullSafe(F.col("c")))
+    start = F.col("earlier_length") + F.col("chars")
+    return told.select(
+        "conv_id",
+        (F.col("earlier_turns") + F.col("at")).alias("piece"),
+        "formatted",
+        start.alias("start"),
+        (start + F.col("loss")).alias("loss_start"),
+        F.when(F.col("loss").isNotNull(), start + F.char_length("formatted") - len(END)).alias("loss_end"),
+        (F.col("earlier_targets") + F.col("answers")).alias("example"),
+        "n_examples",
+    )
+
+
+def examples(turns: DataFrame) -> DataFrame:
+    """(conv_id, example, n_examples, piece, formatted, start, loss_start, loss_end) of ``pieces``.
 
-    The length grows with the square of the turns, so this is for conversations that a model's
-    context can take, not for one that holds much of the table.
+    Every example with all its turns, a row each; the places are those in the example's whole text. Only
+    its target has a trained span, in the context both places are null.
     """
-    whole = written.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("piece", "formatted"))).alias("all"))
-    last = F.max("piece").over(_by_conversation())
-    shown = written.withColumn("last", last).where("loss_start IS NOT NULL OR piece = last")
-    text = F.expr("array_join(transform(slice(all, 1, CAST(piece + 1 AS INT)), p -> p.formatted), '')")
-    pairs = shown.alias("s").join(whole.alias("w"), F.col("s.conv_id").eqNullSafe(F.col("w.conv_id")))
-    return pairs.select("s.conv_id", F.col("piece").alias("example"), text.alias("text"), "loss_start", "loss_end")
+    shown = F.explode(F.sequence("example", F.col("n_examples") - 1))
+    every = turns.select("*", shown.alias("shown"))
+    mine = [F.when(F.col("shown") == F.col("example"), F.col(c)).alias(c) for c in ("loss_start", "loss_end")]
+    return every.select("conv_id", F.col("shown").alias("example"), "n_examples", "piece", "formatted", "start", *mine)
 
 
-def _by_conversation():
-    from pyspark.sql import Window
+def render(written: DataFrame) -> DataFrame:
+    """(conv_id, example, text, loss_start, loss_end) of ``examples``, each in one row; example is its last turn's number.
 
-    return Window.partitionBy("conv_id")
+    A row holds a whole example, so this is for conversations that a model's context can take, not
+    for one that holds much of the table.
+    """
+    parts = F.sort_array(F.collect_list(F.struct("piece", "formatted")))
+    return written.groupBy("conv_id", F.col("example").alias("number")).agg(
+        F.max("piece").alias("example"),
+        F.array_join(F.transform(parts, lambda p: p["formatted"]), "").alias("text"),
+        F.max("loss_start").alias("loss_start"),
+        F.max("loss_end").alias("loss_end"),
+    ).drop("number")
 
 
 def unescape(text: str) -> str:
@@ -130,48 +164,50 @@ def read_piece(formatted: str) -> tuple[str, str]:
 
 
 def read_back(written: DataFrame) -> DataFrame:
-    """One row per conversation of ``pieces``, from the formatted text alone.
+    """One row per conversation of ``examples``, from the formatted text alone.
 
-    n_turns; turns_sha256 over role, newline, text, newline of each turn; loss_chars and loss_sha256
-    of the trained text; formatted_chars, the characters of all examples written out.
+    n_turns and turns_sha256, over role, newline, text, newline of each turn, are read from the last
+    example, which shows all turns; loss_chars and loss_sha256 from the trained span of every
+    example; formatted_chars is the length of all examples.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = None
 
-        def result() -> list:
-            conv, prefix, turns, loss, chars = state
-            total = prefix.examples_chars + prefix.pending * prefix.chars
-            return [conv, prefix.turns, turns.hexdigest(), chars, loss.hexdigest(), total]
-
         def out(rows: list[list]) -> pa.RecordBatch:
-            columns = list(zip(*rows))
-            kinds = [kind_of[0], pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+            done = [[c, n, turns.hexdigest(), chars, loss.hexdigest()] for c, n, turns, chars, loss in rows]
+            kinds = [kind_of[0], pa.int64(), pa.string(), pa.int64(), pa.string()]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*done), kinds)], names=names)
 
         kind_of = [None]
-        for batch in batches:
+        for batch in small_batches(batches):
             kind_of[0], rows = batch.schema.field(0).type, []
-            for conv, formatted, start, loss_start, loss_end in zip(*(batch.column(i).to_pylist() for i in range(5))):
+            for conv, last, formatted, start, loss_start, loss_end in zip(
+                *(batch.column(i).to_pylist() for i in range(6))
+            ):
                 if state is None or state[0] != conv:
-                    rows += [result()] if state else []
-                    state = [conv, Prefix(), hashlib.sha256(), hashlib.sha256(), 0]
-                role, text = read_piece(formatted)
-                state[1].add(formatted, role)
-                state[2].update(f"{role}\n{text}\n".encode())
+                    rows += [state] if state else []
+                    state = [conv, 0, hashlib.sha256(), 0, hashlib.sha256()]
+                if last:
+                    role, text = read_piece(formatted)
+                    state[1] += 1
+                    state[2].update(f"{role}\n{text}\n".encode())
                 if loss_start is not None:
                     trained = unescape(formatted[loss_start - start : loss_end - start])
-                    state[3].update(trained.encode())
-                    state[4] += len(trained)
+                    state[3] += len(trained)
+                    state[4].update(trained.encode())
             if rows:
                 yield out(rows)
         if state:
-            yield out([result()])
+            yield out([state])
 
-    names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+    names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256"]
     kind = written.schema["conv_id"].dataType.simpleString()
-    schema = (
-        f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
-    )
-    ordered = written.repartition("conv_id").sortWithinPartitions("conv_id", "piece")
-    return ordered.select("conv_id", "formatted", "start", "loss_start", "loss_end").mapInArrow(run, schema)
+    schema = f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string"
+    last = F.col("example") == F.col("n_examples") - 1
+    read = written.where(last | F.col("loss_start").isNotNull())
+    ordered = read.repartition("conv_id").sortWithinPartitions("conv_id", "piece", "example")
+    digests = ordered.select("conv_id", last, "formatted", "start", "loss_start", "loss_end").mapInArrow(run, schema)
+    lengths = written.groupBy("conv_id").agg(F.sum(F.char_length("formatted")).alias("formatted_chars"))
+    both = digests.unionByName(lengths, allowMissingColumns=True)
+    return both.groupBy("conv_id").agg(*(F.max(c).alias(c) for c in (*names[1:], "formatted_chars")))

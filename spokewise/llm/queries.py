@@ -84,7 +84,7 @@ def op7_chat_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     text = "</s>[INST] ok [/INST]"
     known = spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], conversations.schema)
-    return chat.read_back(stored(chat.pieces(conversations.union(known)), "chat-pieces"))
+    return chat.read_back(stored(chat.examples(chat.pieces(conversations.union(known))), "chat-examples"))
 
 
 def op8_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -230,10 +230,22 @@ def conversations(rows):
         turns.sort()
         told = "".join(f"{r}\n{t}\n" for _, _, r, t in turns)
         loss = "".join(t for _, _, r, t in turns if r == "assistant")
-        out.append((c, len(turns), sha(told), len(loss), sha(loss)))
+        written = shown = 0
+        for _, _, r, t in turns:
+            shown += len(f"[INST]{escaped(r)}[/INST]{escaped(t)}</s>")
+            written += shown if r == "assistant" else 0
+        written += shown if turns[-1][2] != "assistant" else 0
+        out.append((c, len(turns), sha(told), len(loss), sha(loss), written))
     return out
 
 
+def escaped(text):
+    text = text.replace("\\", "\\\\")
+    for mark in ("[INST]", "[/INST]", "<s>", "</s>"):
+        text = text.replace(mark, mark[0] + "\\" + mark[1:])
+    return text
+
+
 def prefix_trie(rows):
     """rows (conv_id, turn, role, text)."""
     by = collections.defaultdict(list)

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from spokewise.llm import chat, queries
@@ -52,13 +53,29 @@ def test_conversations(spark, tmp_path):
     found = queries.op7_chat_prefix_targets(spark, str(tmp_path)).collect()
     text = "</s>[INST] ok [/INST]"
     known = [(-7, 0, "user", text), (-7, 1, "assistant", text)]
-    assert tables.sorted_rows(r[:5] for r in found) == tables.sorted_rows(brute.conversations(rows + known))
+    assert tables.sorted_rows(found) == tables.sorted_rows(brute.conversations(rows + known))
+
+
+def test_conversation_over_many_tasks(spark, tmp_path):
+    rng = random.Random(5)
+    rows = [(k % 3 or None, t, rng.choice(["user", "assistant"]), f"<s>{k}{t}") for k in range(9) for t in range(60)]
+    rows += [(7, None, "user", "same")] * 50 + [(7, 1, "assistant", "a" * 40 + str(t)) for t in range(50)]
+    schema = "conv_id long, turn long, role string, text string"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/conversations.parquet")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        turns = spark.read.parquet(f"{tmp_path}/conversations.parquet")
+        assert chat.in_order(chat.format_turns(turns)).select(F.spark_partition_id(), "conv_id").distinct().count() > 8
+        found = queries.op7_chat_prefix_targets(spark, str(tmp_path)).where("conv_id IS NULL OR conv_id >= 0").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert tables.sorted_rows(found) == tables.sorted_rows(brute.conversations(rows))
 
 
 def test_written_examples(spark):
     rows = odd_turns()
     turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
-    examples = chat.render(chat.pieces(turns)).collect()
+    examples = chat.render(chat.examples(chat.pieces(turns))).collect()
     by = {}
     for e in examples:
         by.setdefault(e.conv_id, []).append(e)
