@@ -1,13 +1,15 @@
 """Personal data by weak supervision, in DataFrame functions only.
 
 Base spans follow fixed patterns and checks (email, ip, card, phone) and always stay. The search
-also keeps matches that fail a check and looser forms (``name (at) host``, phone numbers without a
-country code) as candidates. Four labelers vote on every candidate or abstain: the strict pattern, a
-gazetteer (top-level domains, card issuers, country codes, address ranges), the words before it, and
-its borders. Expectation-maximisation over the counts of vote patterns estimates how reliable each
+also keeps matches that fail a check and looser forms as candidates: spelled-out addresses, masked and
+six-group network addresses, cards split by other signs or of 15 digits, phone numbers without a country code.
+Six labelers vote on every candidate or abstain: the strict pattern (not on looser forms), a
+gazetteer (top-level domains, card issuers, country codes, address ranges), the words before it,
+its borders, the check digit, and the variety of its digits. Expectation-maximisation over the counts of vote patterns estimates how reliable each
 labeler is; its posteriors weight the training rows of a logistic regression over votes and shape,
 which decides on the candidates: those scoring at least ``CERTAIN`` that no base span overlaps are
-added. Counts are taken over all documents; the tables of patterns have a fixed number of rows.
+added, if it is of a looser form and begins after the one before
+it ends. Counts are taken over all documents; the tables of patterns have a fixed number of rows.
 
 Starts and ends are code points, from the lengths of the matches and of the text between them. The
 patterns begin at the border of a run or where the last match ended and take runs possessively. This
@@ -41,20 +43,48 @@ PATTERNS = {
     "card": r"[0-9](?:[ -]?[0-9]){12,}+",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
+#: Per kind, forms without a check of their own.
 LOOSE = {
-    "email": rf"(?<![{_LOCAL}])[{_LOCAL}]{{1,64}}+ ?[\[(] ?(?i:at) ?[\])] ?[A-Za-z0-9-]{{1,63}}+"
-    r"(?: ?(?:[\[(] ?(?i:dot) ?[\])]|\.) ?[A-Za-z0-9-]{1,63}+){1,8}",
-    "phone": r"(?<![0-9+.-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])",
+    "email": (
+        rf"(?<![{_LOCAL}])[{_LOCAL}]{{1,64}}+ ?[\[({{<] ?(?i:at|@) ?[\])}}>] ?[A-Za-z0-9-]{{1,63}}+"
+        r"(?: ?(?:[\[({<] ?(?i:dot|\.) ?[\])}>]|\.) ?[A-Za-z0-9-]{1,63}+){1,8}",
+        rf"(?<![{_LOCAL}])[{_LOCAL}]{{1,64}}+ (?i:at) [A-Za-z0-9-]{{1,63}}+(?: (?i:dot) [A-Za-z0-9-]{{1,63}}+){{1,8}}",
+        rf"(?<![{_LOCAL}])[{_LOCAL}]{{1,64}}+(?: @ ?|@ | ?＠ ?)[A-Za-z0-9-]{{1,63}}+(?:\.[A-Za-z0-9-]{{1,63}}+){{1,8}}",
+    ),
+    "ip": (
+        r"(?<![0-9.])[0-9]{1,3}(?: ?[\[({] ?(?i:dot|\.) ?[\])}] ?[0-9]{1,3}){3}(?![0-9.])",
+        r"(?<![0-9A-Fa-f:.])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:.])",
+    ),
+    "card": (
+        r"(?<![0-9])[0-9]{16}(?![0-9])",
+        r"(?<![0-9])[0-9]{4}(?:(?: ?[./_|–-] ?| {1,2})[0-9]{4}){3}(?![0-9])",
+        r"(?<![0-9])3[47][0-9]{2}[ -]?[0-9]{6}[ -]?[0-9]{5}(?![0-9])",
+    ),
+    "phone": (
+        r"\+[1-9][0-9]{0,2}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})[ .-]?[0-9]{3,4}[ .-]?[0-9]{4}(?![0-9])",
+        r"(?<![0-9+.-])(?<!\+[0-9]{1,3}[ .-])(?:1[ .-])?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])",
+        r"(?<![0-9+.-])00[1-9][0-9]{0,2}(?:[ .-]?[0-9]){6,12}(?![0-9])",
+        r"(?<![0-9+.-])\(?0[1-9][0-9]{1,3}\)?[ /-][0-9]{3,4}[ -]?[0-9]{3,5}(?![0-9])",
+    ),
 }
 _PART = "0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{0,2})"
-TOP_LEVEL = r"(?i)\.(?:com|org|net|edu|gov|mil|int|info|biz|io|co|us|uk|de|fr|es|it|nl|ch|at|be|eu|ca|au|jp|in|br|mx)$"
+TOP_LEVEL = (
+    r"(?i)(?:\.|dot|[\])}>]) ?(?:com|org|net|edu|gov|mil|int|info|biz|io|co|me|tv|app|dev|name|pro|xyz|online|site|example|test|"
+    r"us|uk|de|fr|es|it|nl|ch|at|be|eu|ca|au|jp|in|br|mx|se|no|fi|dk|pl|cz|pt|ie|gr|ro|hu|ru|ua|tr|il|za|nz|sg|hk|kr|cn|tw|ar|cl)$"
+)
 ISSUERS = r"^(?:4|5[1-5]|2[2-7]|3[47]|35|36|6011|65|62)"
-COUNTRIES = r"^\+(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])"
-RANGES = r"^0*(?:[1-9]|[1-9][0-9]|1[0-9][0-9]|2[01][0-9]|22[0-3])\."
-CUES = r"(?:e-?mail|mailto|contact|reach|write to|call|phone|mobile|tel|fax|card|visa|pay|credit|address|host|server|from|ip)\W*$"
-OTHER_CUES = r"(?:version|release|isbn|order|invoice|serial|number|no|id|token|key|hash|sha|build|page|section|v)\W*$"
+COUNTRIES = r"^(?:\+|00)(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])"
+RANGES = r"^(?:0*(?:[1-9]|[1-9][0-9]|1[0-9][0-9]|2[01][0-9]|22[0-3])[^0-9A-Fa-f:]|(?i:[23][0-9a-f]{3}|f[cd][0-9a-f]{2}|fe80):)"
+CUES = (
+    r"\b(?:e-?mails?|mailto|contact|reach|write|call|phone|telephone|mobile|cell|tel|fax|dial|ring|text|whatsapp|sms|"
+    r"cards?|visa|mastercard|amex|pay|paid|credit|debit|charged?|address|host|server|from|ip|ipv[46]|ping|login|client|user)"
+    r"(?:\W+(?:me|us|him|her|them|at|on|is|was|to|via|with|by|number|no|address|the|my|your|our|his|their)){0,3}\W*$"
+)
+OTHER_CUES = r"(?:version|release|isbn|issn|order|invoice|serial|number|no|id|token|key|hash|sha|build|page|section|figure|table|v)\W*$"
 
-VOTES = ("by_rule", "by_list", "by_context", "by_border")
+VOTES = ("by_rule", "by_list", "by_context", "by_border", "by_sum", "by_variety")
+#: Elements that one running sum takes at a time.
+BLOCK = 128
 
 
 def _digits(text: Column) -> Column:
@@ -78,45 +108,76 @@ def _strict(kind: str, match: Column) -> Column:
     }[kind]
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _running(values: Column) -> Column:
+    """Sums of an array up to and with each element, block by block, so that cost stays in line with length."""
+
+    def sums(part: Column, base: Column) -> Column:
+        def step(state: Column, x: Column) -> Column:
+            at = state["at"] + x
+            return F.struct(at.alias("at"), F.concat(state["all"], F.array(at)).alias("all"))
+
+        first = F.struct(base.alias("at"), F.array().cast("array<int>").alias("all"))
+        return F.aggregate(part, first, step, lambda state: state["all"])
+
+    def total(part: Column) -> Column:
+        return F.aggregate(part, F.lit(0), lambda a, x: a + x)
+
+    def in_blocks(v: Column) -> Column:
+        last = F.floor((F.greatest(F.size(v), F.lit(1)) - 1) / BLOCK).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(v, b * BLOCK + 1, F.lit(BLOCK)))
+
+    def joined(blocks: Column) -> Column:
+        bases = F.concat(F.array(F.lit(0)), sums(F.transform(blocks, total), F.lit(0)))
+        return _let(bases, lambda base: F.flatten(F.transform(blocks, lambda part, i: sums(part, base[i]))))
+
+    return _let(values, lambda v: _let(in_blocks(v), joined))
+
+
 def _spans(text: Column, pattern: str, kind: str, loose: bool) -> Column:
-    """Matches of a pattern as (kind, start, end, match, rule, before, after)."""
-    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    empty = F.array().cast("array<struct<start:int,end:int,match:string>>")
-
-    def step(state: Column, pair: Column) -> Column:
-        start = state["at"] + F.length(pair["gap"])
-        end = start + F.length(pair["match"])
-        span = F.struct(start.alias("start"), end.alias("end"), pair["match"].alias("match"))
-        return F.struct(end.alias("at"), F.concat(state["found"], F.array(span)).alias("found"))
-
-    pairs = F.zip_with(matches, gaps, lambda m, g: F.struct(m.alias("match"), g.alias("gap")))
-    pairs = F.filter(pairs, lambda p: p["match"].isNotNull())
-    first = F.struct(F.lit(0).alias("at"), empty.alias("found"))
-    placed = F.aggregate(pairs, first, step, lambda state: state["found"])
-    whole = F.transform(
-        placed,
-        lambda s: F.struct(
-            F.lit(kind).alias("kind"),
-            s["start"].alias("start"),
-            s["end"].alias("end"),
-            s["match"].alias("match"),
-            (F.lit(False) if loose else _strict(kind, s["match"])).alias("rule"),
-            F.lower(F.substring(text, F.greatest(s["start"] - CONTEXT, F.lit(0)) + 1, F.least(s["start"], F.lit(CONTEXT)))).alias("before"),
-            F.substring(text, s["end"] + 1, F.lit(1)).alias("after"),
-        ),
-    )
+    """Matches of a pattern as (kind, start, end, match, loose, rule, before, after)."""
     none = F.array().cast(
-        "array<struct<kind:string,start:int,end:int,match:string,rule:boolean,before:string,after:string>>"
+        "array<struct<kind:string,start:int,end:int,match:string,loose:boolean,rule:boolean,before:string,after:string>>"
     )
-    return F.when(F.size(matches) > 0, whole).otherwise(none)
+
+    def located(found: Column) -> Column:
+        """Texts between matches are one more than these; each text and match is measured once."""
+        pairs = F.zip_with(found["gaps"], found["matches"], lambda g, m: F.length(g) + F.coalesce(F.length(m), F.lit(0)))
+        return F.zip_with(found["matches"], F.slice(_running(pairs), F.lit(1), F.size(found["matches"])), lambda m, end: (
+            F.struct(m.alias("match"), end.alias("end"))
+        ))
+
+    def spans(found: Column) -> Column:
+        def span(m: Column, i: Column) -> Column:
+            match, gaps = m["match"], found["gaps"]
+            near = F.concat(F.coalesce(F.get(found["matches"], i - 1), F.lit("")), gaps[i])
+            return F.struct(
+                F.lit(kind).alias("kind"),
+                (m["end"] - F.length(match)).alias("start"),
+                m["end"].alias("end"),
+                match.alias("match"),
+                F.lit(loose).alias("loose"),
+                (F.lit(False) if loose else _strict(kind, match)).alias("rule"),
+                F.lower(F.substring(near, -CONTEXT, CONTEXT)).alias("before"),
+                F.substring(F.concat(gaps[i + 1], F.coalesce(F.get(found["matches"], i + 1), F.lit(""))), 1, 1).alias("after"),
+            )
+
+        return F.transform(located(found), span)
+
+    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    found = F.struct(matches.alias("matches"), F.split(text, pattern, -1).alias("gaps"))
+    return F.when(text.rlike(pattern), _let(found, spans)).otherwise(none)
 
 
 def find(documents: DataFrame) -> DataFrame:
     """(doc_id, found): per document its matches, base ones first, by kind and start."""
     text = F.col("text")
     parts = [_spans(text, PATTERNS[k], k, False) for k in KINDS]
-    parts += [_spans(text, p, k, True) for k, p in LOOSE.items()]
+    parts += [_spans(text, p, k, True) for k, forms in LOOSE.items() for p in forms]
     body = documents.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     return body.select("doc_id", F.concat(*parts).alias("found"))
 
@@ -128,16 +189,20 @@ def _votes(c: Column) -> dict[str, Column]:
         F.when(kind == "email", F.when(match.rlike(TOP_LEVEL), 1).otherwise(0))
         .when(kind == "ip", F.when(match.rlike(RANGES), 1).otherwise(0))
         .when(kind == "card", F.when(_digits(match).rlike(ISSUERS), 1).otherwise(0))
-        .when(~F.startswith(match, F.lit("+")), -1)
+        .when(~match.rlike(r"^(?:\+|00)"), -1)
         .otherwise(F.when(match.rlike(COUNTRIES), 1).otherwise(0))
     )
     context = F.when(c["before"].rlike(CUES), 1).when(c["before"].rlike(OTHER_CUES), 0).otherwise(-1)
     open_ = ~c["before"].rlike(r"[\p{L}\p{N}_.]$") & ~c["after"].rlike(r"[\p{L}\p{N}_]")
+    digits = _digits(match)
+    few = digits.rlike("^([0-9])\\1*([0-9]?)(?:\\1|\\2)*$")
     return {
-        "by_rule": c["rule"].cast("int"),
+        "by_rule": F.when(c["loose"], -1).otherwise(c["rule"].cast("int")),
         "by_list": listed,
         "by_context": context,
         "by_border": open_.cast("int"),
+        "by_sum": F.when(kind == "card", _luhn(digits).cast("int")).otherwise(-1),
+        "by_variety": F.when(kind.isin("card", "phone") & few, 0).otherwise(-1),
     }
 
 
@@ -235,8 +300,13 @@ def detect(documents: DataFrame) -> DataFrame:
     if weights is None:
         return with_base.select("doc_id", "base", F.filter("base", lambda s: F.lit(False)).alias("added"))
     free = lambda c: ~F.exists("base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
-    added = F.filter("found", lambda c: ~c["rule"] & free(c) & (_score(c, weights) >= CERTAIN))
-    return with_base.select("doc_id", "base", spans(added).alias("added"))
+    sure = F.filter("found", lambda c: c["loose"] & (_score(c, weights) >= CERTAIN) & free(c))
+    by_place = F.array_sort(F.transform(sure, lambda c: F.struct(*(c[f].alias(f) for f in ("start", "end", "kind")))))
+
+    def first_of_its_place(spans_: Column) -> Column:
+        return F.filter(spans_, lambda c, i: (i == 0) | (c["start"] >= F.get(spans_, i - 1)["end"]))
+
+    return with_base.select("doc_id", "base", spans(_let(by_place, first_of_its_place)).alias("added"))
 
 
 def written(spans: Column) -> Column:

@@ -175,6 +175,7 @@ def test_packing(spark, tmp_path):
 
 def test_reliabilities_favour_the_true_spans():
     table = [("card", (1, 1, -1, 1), 90), ("card", (0, 0, -1, 1), 80), ("card", (0, 1, 0, 0), 20), ("card", (1, 1, 1, 1), 9)]
+    table = [(kind, (*votes, -1, -1), n) for kind, votes, n in table]
     share, skill, posterior = private.reliabilities(table)
     assert posterior[0] > 0.9 and posterior[3] > 0.9 and posterior[1] < 0.1 and posterior[2] < 0.5
     assert all(0 < v < 1 for pair in skill.values() for v in pair) and 0 < share["card"] < 1
