@@ -6,8 +6,9 @@ begins with an audit: some of its queries, and at first some members turned away
 threshold's angle, are compared with the whole shard, and the beam is doubled until the graph finds
 ``RECALL`` of their links, those of large groups too, and ``NEAREST`` of their nearest vectors. A query whose beam is full of links has its own beam doubled, and beyond a quarter
 of the shard it is compared with all of it. Found pairs are verified by cosine in double precision.
-A shard's task passes on, per query, one link for each shard and the components its members form, so
-the links of a group of n vectors never become n² rows.
+A shard's task passes on, per query, one link for each shard, the components its members form and how many
+vectors found each member, so the links of a group of n vectors never become n² rows. A vector's links are
+those it found or those that found it, whichever are more: a pair that one side alone finds counts for both.
 
 Vectors that are null, zero, empty, or hold null or non-finite components link with nothing; vectors
 of different lengths do not link. Null ids are passed over as component ids.
@@ -30,8 +31,9 @@ THRESHOLD = 0.95
 #: Shards of small tables, and the most vectors of one shard, which grows their number.
 SHARDS = 8
 SHARD_ROWS = 100_000
-#: Tasks that share the queries of one shard.
+#: Tasks that share the queries of one shard, at least, and the queries of one task, which grow their number.
 LANES = 4
+LANE_QUERIES = 200_000
 BLOCK = 512
 NEIGHBOURS = 16
 BUILD_BEAM = 48
@@ -193,7 +195,7 @@ class Shard:
         self.exact = unit(raw)
         self.points = self.exact.astype(np.float32)
         self.threshold, self.beam, self.n = threshold, FIRST_BEAM, len(raw)
-        self.labels = np.arange(self.n)
+        self.labels, self.asked = np.arange(self.n), np.zeros(self.n, dtype=np.int64)
         self.turned = self._turned()
 
     def _turned(self) -> np.ndarray:
@@ -283,11 +285,11 @@ def _pack(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[tuple[np.nda
                 yield int(shard[begin]), cid[begin:end], times[begin:end], raw
 
 
-def links(classes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(cid, other, linked) of stored classes (cid, shard, dim, times, embedding).
+def links(classes: DataFrame, threshold: float = THRESHOLD, lanes: int = LANES) -> DataFrame:
+    """(cid, other, linked, asked) of stored classes (cid, shard, dim, times, embedding).
 
-    Rows with ``linked`` count the vectors that a class links with in one shard; rows with ``other``
-    are links that connect the same classes as all pairs do.
+    Rows with ``linked`` count the vectors that a class found in one shard, rows with ``asked`` those that found
+    it; rows with ``other`` are links that connect the same classes as all pairs do.
     """
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -315,22 +317,23 @@ def links(classes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     def block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, cid, times, raw in _pack(batches, BLOCK):
             yield pa.RecordBatch.from_arrays(
-                [pa.array([raw.shape[1]], pa.int64()), pa.array(cid[:1]), pa.array([pickle.dumps((cid, raw))], pa.binary())],
+                [pa.array([raw.shape[1]], pa.int64()), pa.array(cid[:1]), pa.array([pickle.dumps((cid, times, raw))], pa.binary())],
                 names=["dim", "seq", "blob"],
             )
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, key = None, None
+        shard, key, names = None, None, ["cid", "other", "linked", "asked"]
 
-        def out(a: np.ndarray, b: np.ndarray | None, linked: np.ndarray | None) -> pa.RecordBatch:
-            columns = [pa.array(a), pa.nulls(len(a), pa.int64()) if b is None else pa.array(b)]
-            columns.append(pa.nulls(len(a), pa.int64()) if linked is None else pa.array(linked))
-            return pa.RecordBatch.from_arrays(columns, names=["cid", "other", "linked"])
+        def out(a: np.ndarray, **values: np.ndarray) -> pa.RecordBatch:
+            columns = [pa.array(values[n]) if n in values else pa.nulls(len(a), pa.int64()) for n in names[1:]]
+            return pa.RecordBatch.from_arrays([pa.array(a), *columns], names=names)
 
         def finish() -> Iterator[pa.RecordBatch]:
             if shard is not None:
                 leaf = np.flatnonzero(shard.labels != np.arange(shard.n))
-                yield out(shard.cids[leaf], shard.cids[shard.labels[leaf]], None)
+                yield out(shard.cids[leaf], other=shard.cids[shard.labels[leaf]])
+                found = np.flatnonzero(shard.asked)
+                yield out(shard.cids[found], asked=shard.asked[found])
 
         for batch in batches:
             for slot, seq, blob in zip(*(batch.column(i).to_pylist() for i in range(3))):
@@ -339,19 +342,20 @@ def links(classes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
                     shard, key = Shard(blob, threshold), slot
                     continue
                 assert key == slot
-                cid, raw = pickle.loads(blob)
+                cid, times, raw = pickle.loads(blob)
                 query, vertex = shard.links(raw)
                 itself = cid[query] == shard.cids[vertex]
                 query, vertex = query[~itself], vertex[~itself]
                 if not len(query):
                     continue
+                np.add.at(shard.asked, vertex, times[query])
                 order = np.argsort(query, kind="stable")
                 query, vertex = query[order], vertex[order]
                 heads = np.concatenate(([True], query[1:] != query[:-1]))
                 first = vertex[heads][np.cumsum(heads) - 1]
                 join_labels(shard.labels, first, vertex)
                 total = np.add.reduceat(shard.times[vertex], np.flatnonzero(heads))
-                yield out(cid[query[heads]], shard.cids[vertex[heads]], total)
+                yield out(cid[query[heads]], other=shard.cids[vertex[heads]], linked=total)
         yield from finish()
 
     ordered = classes.repartition("shard").sortWithinPartitions("shard", "cid")
@@ -359,13 +363,15 @@ def links(classes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     indexes = stored(ordered.select(*columns).mapInArrow(index, "shard long, seq long, blob binary"), "hnsw")
     dims = classes.groupBy("dim").agg(F.collect_set("shard").alias("shards"))
     blocks = ordered.select(*columns).mapInArrow(block, "dim long, seq long, blob binary").join(F.broadcast(dims), "dim")
-    lane = F.pmod(F.xxhash64("seq"), F.lit(LANES))
+    lane = F.pmod(F.xxhash64("seq"), F.lit(lanes))
     asked = blocks.select(F.explode("shards").alias("shard"), lane.alias("lane"), "seq", "blob")
-    lanes = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(LANES - 1).cast("long")))
-    ready = indexes.select("shard", lanes.alias("lane"), "seq", "blob")
-    together = ready.union(asked).withColumn("slot", F.col("shard") * LANES + F.col("lane"))
-    dealt = together.repartition("slot").sortWithinPartitions("slot", "seq")
-    return dealt.select("slot", "seq", "blob").mapInArrow(search, "cid long, other long, linked long")
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(lanes - 1).cast("long")))
+    ready = indexes.select("shard", every.alias("lane"), "seq", "blob")
+    together = ready.union(asked).withColumn("slot", F.col("shard") * lanes + F.col("lane"))
+    # a search takes far longer than its bytes tell, so slots must not be merged into tasks by size
+    slots = max(1, indexes.count() * lanes)
+    dealt = together.repartition(2 * slots, "slot").sortWithinPartitions("slot", "seq")
+    return dealt.select("slot", "seq", "blob").mapInArrow(search, "cid long, other long, linked long, asked long")
 
 
 def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -385,10 +391,11 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD) -> Data
     most = numbered.groupBy("dim").count().agg(F.max("count")).first()[0] or 0
     shards = max(SHARDS, -(-most // SHARD_ROWS))
     place = F.col("dim") * shards + F.pmod(F.xxhash64("cid"), F.lit(shards))
-    found = stored(links(numbered.withColumn("shard", place), threshold), "vector-links")
+    lanes = max(LANES, -(-most // LANE_QUERIES))
+    found = stored(links(numbered.withColumn("shard", place), threshold, lanes), "vector-links")
     edges = found.where("other IS NOT NULL").select(F.col("cid").alias("a"), F.col("other").alias("b"))
     members = connected_components(edges, "vector-components").withColumnRenamed("id", "cid")
-    counts = found.groupBy("cid").agg(F.sum("linked").alias("linked"))
+    counts = found.groupBy("cid").agg(F.greatest(F.sum("linked"), F.sum("asked")).alias("linked"))
     known = numbered.join(members, "cid", "left").join(counts, "cid", "left")
     known = known.withColumn("root", F.coalesce("root", "cid"))
     least = known.groupBy("root").agg(F.min("least").alias("component_id"))
