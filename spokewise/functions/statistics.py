@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,9 +41,16 @@ def column_medians(
 
 
 def exact_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
-    """The lower median of each column, exactly.
+    """The lower median of each column, exactly."""
+    return exact_ranked(df, columns, lambda n: (n + 1) // 2)
 
-    Each round brackets the median between two elements and counts the rows around them, so the
+
+def exact_ranked(
+    df: DataFrame, columns: Sequence[str], rank: Callable[[int], int]
+) -> dict[str, float | None]:
+    """The element of each column at the rank (from 1) that ``rank`` gives for its number of values, exactly.
+
+    Each round brackets the element between two others and counts the rows around them, so the
     rows in question shrink by a factor of some hundreds while the driver sees a few numbers per
     column. A hot value is settled by the counts, whatever its share of the rows.
     """
@@ -52,7 +59,7 @@ def exact_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | No
     # column -> (open lower bound, open upper bound, rows up to the lower bound, rows inside)
     pending = {c: (None, None, 0, head[c]) for c in columns if head[c]}
     while pending:
-        pending = _narrow(df, {c: (head[c] + 1) // 2 for c in columns}, pending, result)
+        pending = _narrow(df, {c: rank(head[c]) for c in pending}, pending, result)
     return result
 
 

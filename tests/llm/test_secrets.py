@@ -94,3 +94,49 @@ def test_planted_secrets_are_added_and_clean_texts_left_alone(spark, network):
     caught = sum(any(t[s.start : s.end] == b for s in found[k]) for (k, t), b in zip(rows, bodies))
     assert caught > 0.85 * len(bodies)
     assert sum(bool(found[d]) for d, _ in clean) <= 0.01 * len(clean)
+
+
+def prose(rng, n):
+    words = ["go", "home", "river", "stone", "quiet", "market", "seven", "window", "build2", "releaseNote", "part-17x"]
+    return " ".join(rng.choices(words, k=n))
+
+
+def test_all_findings_are_learnt_from(spark):
+    """More base findings than a fit once took, and one longer than it took."""
+    rng = random.Random(3)
+    bodies = [f"{k:06x}" + "".join(rng.choices("0123456789abcdef", k=30)) for k in range(5000)] + ["0f" * 3000]
+    rows = [(k, f"{prose(rng, 3)} {b} {prose(rng, 2)}") for k, b in enumerate(bodies)] + [(-1, None), (-2, "")]
+    findings = secrets.labelled_findings(spark.createDataFrame(rows * 2, "doc_id long, text string").repartition(3))
+    found = findings.where("secret").collect()
+    assert sorted(r.body for r in found) == sorted(bodies)
+    n_plain, n_secret = findings.where("NOT secret").count(), len(found)
+    examples = secrets._examples(findings, n_plain, n_secret)
+    counts = {r.body: r["count"] for r in examples.where("secret").groupBy("body").count().collect()}
+    assert all(counts[b] == 2 for b in bodies)  # in its place and moved
+    assert examples.where("NOT secret").join(findings.where("NOT secret"), ["before", "body", "after"]).count() >= n_plain
+
+
+def test_shards_learn_one_network(spark, monkeypatch):
+    monkeypatch.setattr(secrets, "SHARD", 1000)
+    rng = random.Random(4)
+    rows = [(k, f"{prose(rng, 8)} {''.join(rng.choices('0123456789abcdef', k=32))} {prose(rng, 8)}") for k in range(800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    one, two = secrets.fit(docs), secrets.fit(docs.repartition(5))
+    assert one.report["examples"] > 3000 and one.report["recall"] > 0.9 and one.report["precision"] > 0.9
+    assert one.thresholds == two.thresholds and (one.values() == two.values()).all()
+
+
+def test_gradients_of_long_examples_come_in_pieces(monkeypatch):
+    rng = np.random.default_rng(2)
+    network = secrets.Network.fresh(rng)
+    examples = [rng.integers(1, 256, n) for n in (3, 5000, 64, 63, 65, 1)]
+    y = np.array([1.0, 0, 1, 0, 1, 0])
+    whole = network.gradients(examples, y)
+    monkeypatch.setattr(secrets, "POSITIONS", 64)
+    for a, b in zip(whole, network.gradients(examples, y)):
+        assert np.allclose(a, b, atol=1e-5)
+
+
+def test_no_documents_give_a_network(spark):
+    network = secrets.fit(spark.createDataFrame([], "doc_id long, text string"))
+    assert network.report["examples"] >= 2 * secrets.LEAST_MADE
