@@ -35,6 +35,8 @@ from spokewise.sources.tables import read_csv, read_headerless_csv, read_parquet
 ASKED_DAY = (2023, 10, 9)
 ASKED_CUSTOMER = 12
 UNKNOWN_CUSTOMER = 2_000_000_000
+#: Ratings of one customer that one task sums up, about.
+SHARE = 1_000_000
 
 
 def _rounded(column, digits: int):
@@ -536,27 +538,32 @@ def _off_optimum(ratings: DataFrame, model) -> DataFrame:
     The last half-step of the fit solves for the customers, so at each customer the gradient
     sum((x.y - r) y) + lambda n x vanishes up to the precision of stored factors.
     """
-    users = model.userFactors.select(
-        F.col("id").alias("CustomerKey"), F.col("features").cast("array<double>").alias("x")
-    )
-    items = model.itemFactors.select(
-        F.col("id").alias("BikeKey"), F.col("features").cast("array<double>").alias("y")
-    )
-    # customers before bikes: neither join shares its key with the exchange that follows, so AQE
-    # may split hot keys in both, and the sums fold a hot customer in each task
-    pairs = ratings.join(users, "CustomerKey").join(items, "BikeKey")
+    users = model.userFactors.select(F.col("id").alias("CustomerKey"), F.col("features").alias("x"))
+    items = model.itemFactors.select(F.col("id").alias("BikeKey"), F.col("features").alias("y"))
+    # bikes before customers: the sums run where the second join leaves the rows, so a rating moves with
+    # its bike's factors once and no sums move but one a share; hot customers have several shares
+    counts = ratings.groupBy("CustomerKey").agg(F.ceil(F.count("*") / SHARE).alias("shares"))
+    hot = stored(counts.where("shares > 1"), "hot-customers")
+    share = F.coalesce(F.pmod(F.xxhash64("BikeKey", "Quantity"), "shares"), F.lit(0)).alias("share")
+    dealt = ratings.join(hot, "CustomerKey", "left").select("CustomerKey", "BikeKey", "Quantity", share)
+    shares = F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("shares", F.lit(1)) - 1)).alias("share")
+    asked = users.join(hot, "CustomerKey", "left").select("CustomerKey", "x", shares)
+    pairs = dealt.join(items, "BikeKey").drop("BikeKey").join(asked, ["CustomerKey", "share"])
+    pairs = pairs.withColumns({c: F.col(c).cast("array<double>") for c in ("x", "y")})
     product = F.aggregate(
         F.zip_with("x", "y", lambda a, b: a * b), F.lit(0.0), lambda total, v: total + v
     )
     pairs = pairs.withColumn("error", product - F.col("Quantity"))
     places = range(model.rank)
-    per_user = pairs.groupBy("CustomerKey").agg(
+    per_share = pairs.groupBy("CustomerKey", "share").agg(
         *[
             F.sum(F.col("error") * F.col("y")[k] + 0.01 * F.col("x")[k]).alias(f"gradient_{k}")
             for k in places
         ],
         *[F.sum(F.abs(F.col("Quantity") * F.col("y")[k])).alias(f"scale_{k}") for k in places],
     )
+    sums = [f"{name}_{k}" for name in ("gradient", "scale") for k in places]
+    per_user = per_share.groupBy("CustomerKey").agg(*[F.sum(c).alias(c) for c in sums])
     gradient = F.greatest(*[F.abs(F.col(f"gradient_{k}")) for k in places])
     scale = F.greatest(*[F.col(f"scale_{k}") for k in places])
     return per_user.agg(

@@ -288,3 +288,19 @@ def test_hot_key_gives_the_same_totals(spark):
     known = stored(rows.select("CustomerKey").distinct(), "customers")
     bikes = stored(rows.select("BikeKey").distinct(), "bikes")
     assert recommend.rating_triples(rows, known, bikes).count() == 30_000
+
+
+def test_optimum_is_judged_in_shares(spark, ratings, monkeypatch):
+    """A hot customer's ratings are summed in shares, and a customer off the optimum is found."""
+    from spokewise.operators.factors import FactorTables
+    from spokewise.plans import star_queries
+
+    hot = spark.createDataFrame([(39, b, 1.0 + b % 3) for b in range(1, 25)] * 20, ratings.schema)
+    both = stored(ratings.union(hot), "ratings")
+    model = recommend.fit_recommender(both)
+    n = both.select("CustomerKey").distinct().count()
+    monkeypatch.setattr(star_queries, "SHARE", 50)
+    assert star_queries._off_optimum(both, model).collect() == [(n, 0)]
+    moved = F.transform("features", lambda v: (v + F.when(F.col("id") == 39, 0.5).otherwise(0)).cast("float"))
+    off = FactorTables(model.rank, model.userFactors.select("id", moved.alias("features")), model.itemFactors)
+    assert star_queries._off_optimum(both, off).collect() == [(n, 1)]
