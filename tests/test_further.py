@@ -206,3 +206,22 @@ def test_a_filtered_side_sends_its_keys_ahead(spark):
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert "might_contain" in text
+
+
+def test_best_places_of_a_block():
+    rng = np.random.default_rng(1)
+    scores = rng.integers(0, 30, (60, 80)).astype(float)
+    scores[3], scores[4, :70] = 7, np.nan
+    for least in (np.full(60, -np.inf), np.full(60, 28.0), rng.integers(0, 31, 60).astype(float)):
+        row, place = best._best_places(scores, least, 5)
+        for r in range(60):
+            wanted = [c for c in np.lexsort((np.arange(80), -scores[r])) if scores[r, c] >= least[r]][:5]
+            assert place[row == r].tolist() == wanted
+
+
+def test_few_users_do_not_multiply_the_items():
+    """Items are sent to every lane, so lanes stay few where users are."""
+    assert best._lanes(54_000, 7_200_000) == (1, best.LANES)
+    for users, items in ((1, 1), (1, 10**9), (10**9, 10**9), (10**9, 1), (5000, 5000), (0, 0)):
+        lanes, shares = best._lanes(users, items)
+        assert lanes * shares == best.LANES and lanes <= max(1, 2 * users // best.PACK + 1)
