@@ -304,3 +304,38 @@ def test_optimum_is_judged_in_shares(spark, ratings, monkeypatch):
     moved = F.transform("features", lambda v: (v + F.when(F.col("id") == 39, 0.5).otherwise(0)).cast("float"))
     off = FactorTables(model.rank, model.userFactors.select("id", moved.alias("features")), model.itemFactors)
     assert star_queries._off_optimum(both, off).collect() == [(n, 1)]
+
+
+@pytest.mark.parametrize("share", [1 << 18, 7])
+def test_sums_in_blocks_and_shares(spark, ratings, monkeypatch, share):
+    """The factors of plain alternating least squares; half-steps move rows by blocks, never by pairs."""
+    from spokewise.operators import factors as sums
+
+    moved, by_block = [], sums._by_block
+    monkeypatch.setattr(sums, "_by_block", lambda rows, *a: moved.append(rows) or by_block(rows, *a))
+    for name, value in {"SHARE": share, "CHUNK": 16, "BLOCKS": 3, "BLOCK_PAIRS": 100}.items():
+        monkeypatch.setattr(sums, name, value)
+    rows = ratings.toPandas()
+    customers, bikes = sums.fit_factors(ratings, 4, 2, 0.01, 1)
+    keys = stored(ratings.select("CustomerKey", "BikeKey").distinct(), "keys")
+    given = {r.id: np.array(r.features) for r in sums._start(keys, 4, 1).collect()}
+    for wanted, known in [("BikeKey", "CustomerKey"), ("CustomerKey", "BikeKey")] * 2:
+        found = {}
+        for key, mine in rows.groupby(wanted):
+            y = np.array([given[k] for k in mine[known]])
+            found[key] = np.linalg.solve(y.T @ y + 0.01 * len(mine) * np.eye(4), y.T @ mine.Quantity.to_numpy())
+        before, given = given, found
+    for table, expected in ((customers, given), (bikes, before)):
+        got = {r.id: r.features for r in table.collect()}
+        assert got.keys() == expected.keys()
+        assert all(np.allclose(got[k], expected[k], rtol=1e-3, atol=1e-3) for k in got)
+    blocks = max(3, -(-keys.count() // 100))
+    packed = [m.count() for m in moved if m.columns == ["block", "seq", "blob"]]
+    assert len(packed) == 8 and max(packed) <= blocks * (blocks + 2) < keys.count()
+
+
+def test_broken_keys_are_refused(spark):
+    """Vectors are kept by whole numbers, so that two keys never fall together."""
+    df = spark.createDataFrame([(1.0, 1, 1.0), (1.5, 2, 2.0)], "CustomerKey double, BikeKey int, Quantity double")
+    with pytest.raises(Exception, match="whole number"):
+        recommend.fit_recommender(df, method="sums")
