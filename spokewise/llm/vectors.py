@@ -3,8 +3,8 @@
 Equal vectors are folded into classes first. Classes are dealt into shards; each shard is indexed by
 a hierarchy of small-world graphs, stored, and every class queries every shard in blocks. A block
 begins with an audit: some of its queries, and at first some members turned away by just the
-threshold's angle, are compared with the whole shard, and the beam is doubled until the graph finds
-``RECALL`` of their links, those of large groups too, and ``NEAREST`` of their nearest vectors. A query whose beam is full of links has its own beam doubled, and beyond a quarter
+threshold's angle, are compared with the whole shard, and the beam is widened until the graph finds
+``RECALL`` of their links, those of large groups too, and ``NEAREST`` of all samples' nearest vectors. A query whose beam is full of links has its own beam doubled, and beyond a quarter
 of the shard it is compared with all of it. Found pairs are verified by cosine in double precision.
 A shard's task passes on, per query, one link for each shard, the components its members form and how many
 vectors found each member, so the links of a group of n vectors never become n² rows. A vector's links are
@@ -45,6 +45,8 @@ NEAREST = 0.9
 TURNED = 64
 #: Vertices opened at a time.
 OPEN = 4
+#: The key of an empty place in a beam, after all others and opened.
+NONE = np.iinfo(np.int64).max
 
 
 def unit(raw: np.ndarray) -> np.ndarray:
@@ -54,46 +56,70 @@ def unit(raw: np.ndarray) -> np.ndarray:
     return rows / np.sqrt((rows * rows).sum(axis=1, keepdims=True))
 
 
+def _keys(sims: np.ndarray, vertices: np.ndarray) -> np.ndarray:
+    """Numbers that sort by falling similarity, then vertex; the last bit is free for those opened."""
+    bits = sims.astype(np.float32).view(np.int32)
+    rising = bits ^ ((bits >> 31) & 0x7FFFFFFF)
+    return (~rising.astype(np.int64) << 32) | (vertices.astype(np.int64) << 1)
+
+
+def _unkeyed(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(vertices, similarities) of keys; -1 and -2 where there is none."""
+    rising = (~(keys >> 32)).astype(np.int32)
+    sims = (rising ^ ((rising >> 31) & 0x7FFFFFFF)).view(np.float32)
+    none = keys == NONE
+    return np.where(none, -1, (keys & 0xFFFFFFFF) >> 1), np.where(none, np.float32(-2), sims)
+
+
+def _heads(values: np.ndarray) -> np.ndarray:
+    """Whether a sorted value differs from the one before."""
+    return np.concatenate((np.ones(min(1, len(values)), dtype=bool), values[1:] != values[:-1]))
+
+
 def beam_search(
     graph: np.ndarray, points: np.ndarray, queries: np.ndarray, entries: np.ndarray, beam: int
 ) -> tuple[np.ndarray, np.ndarray]:
-    """The ``beam`` most similar vertices found for each query, best first (-1 where fewer)."""
-    q = len(queries)
-    ids = np.full((q, beam), -1, dtype=np.int64)
-    sims = np.full((q, beam), -2.0, dtype=np.float32)
-    opened = np.ones((q, beam), dtype=bool)
-    visited = np.zeros((q, len(graph)), dtype=bool)
-
-    def merge(rows: np.ndarray, new: np.ndarray) -> None:
-        new = np.sort(new, axis=1)
-        new[:, 1:][new[:, 1:] == new[:, :-1]] = -1
-        there = np.maximum(new, 0)
-        new[visited[rows[:, None], there]] = -1
-        fresh = new >= 0
-        visited[np.broadcast_to(rows[:, None], new.shape)[fresh], new[fresh]] = True
-        near = np.matmul(points[there], queries[rows][:, :, None])[:, :, 0]
-        near[~fresh] = -2
-        all_ids = np.concatenate((ids[rows], new), axis=1)
-        all_sims = np.concatenate((sims[rows], near), axis=1)
-        all_opened = np.concatenate((opened[rows], ~fresh), axis=1)
-        best = np.argsort(-all_sims, axis=1, kind="stable")[:, :beam]
-        ids[rows] = np.take_along_axis(all_ids, best, axis=1)
-        sims[rows] = np.take_along_axis(all_sims, best, axis=1)
-        opened[rows] = np.take_along_axis(all_opened, best, axis=1)
+    """The ``beam`` most similar vertices found for each query, best first (-1 where fewer).
+
+    Only vertices that a query has not met are compared with it, and only those that enter its beam are sorted.
+    """
+    q, n = len(queries), len(graph)
+    keys = np.full((q, beam), NONE, dtype=np.int64)
+    visited = np.zeros(q * n, dtype=bool)
+    kind = np.int32 if q * n < 1 << 31 else np.int64
+
+    def meet(rows: np.ndarray, vertices: np.ndarray) -> None:
+        pairs = np.where(vertices < 0, 0, vertices + (rows * n)[:, None].astype(kind)).ravel()
+        pairs = np.sort(pairs[(vertices >= 0).ravel() & ~visited.take(pairs)])
+        pairs = pairs[_heads(pairs)].astype(np.int64)
+        visited[pairs] = True
+        row = np.repeat(np.arange(q), np.diff(np.searchsorted(pairs, np.arange(q + 1) * n)))
+        vertex = pairs - row * n
+        new = _keys(np.einsum("ij,ij->i", points.take(vertex, axis=0), queries.take(row, axis=0)), vertex)
+        enters = new < keys[:, -1].take(row)
+        row, new = row[enters], new[enters]
+        heads = np.flatnonzero(_heads(row))
+        counts = np.diff(np.append(heads, len(row)))
+        wider = np.full((len(heads), beam + counts.max(initial=0)), NONE, dtype=np.int64)
+        wider[:, :beam] = keys[row[heads]]
+        nth = np.arange(len(row)) - np.repeat(heads, counts)
+        wider[np.repeat(np.arange(len(heads)), counts), beam + nth] = new
+        wider.sort(axis=1)
+        keys[row[heads]] = wider[:, :beam]
 
     active = np.arange(q)
-    merge(active, entries.astype(np.int64))
+    meet(active, entries)
     while True:
-        pick = np.argsort(opened[active], axis=1, kind="stable")[:, :OPEN]
-        closed = ~np.take_along_axis(opened[active], pick, axis=1)
+        closed = (keys[active] & 1) == 0
         going = closed.any(axis=1)
-        active, pick, closed = active[going], pick[going], closed[going]
+        active, closed = active[going], closed[going]
         if not len(active):
-            return ids, sims
-        opened[active[:, None], pick] = True
-        new = graph[np.where(closed, np.take_along_axis(ids[active], pick, axis=1), 0)]
-        new[~closed] = -1
-        merge(active, new.reshape(len(active), -1))
+            return _unkeyed(keys)
+        row, place = np.nonzero(closed & (np.cumsum(closed, axis=1, dtype=np.int32) <= OPEN))
+        row = active[row]
+        vertex = (keys[row, place] & 0xFFFFFFFF) >> 1
+        keys[row, place] |= 1
+        meet(row, graph.take(vertex, axis=0))
 
 
 def _select(points: np.ndarray, ids: np.ndarray, sims: np.ndarray, keep: int) -> np.ndarray:
@@ -197,6 +223,8 @@ class Shard:
         self.threshold, self.beam, self.n = threshold, FIRST_BEAM, len(raw)
         self.labels, self.asked = np.arange(self.n), np.zeros(self.n, dtype=np.int64)
         self.turned = self._turned()
+        # the audits so far: queries, their nearest similarity, and whether the beam in use finds it
+        self.sample, self.nearest, self.met = self.points[:0], np.zeros(0, np.float32), np.zeros(0, bool)
 
     def _turned(self) -> np.ndarray:
         """Members turned in a random direction to a cosine just over the threshold."""
@@ -241,10 +269,12 @@ class Shard:
         return query, vertex, best
 
     def audit(self, queries: np.ndarray) -> None:
-        """Double the beam until the search finds what the whole shard has for the sample.
+        """Widen the beam until the search finds what the whole shard has for the sample.
 
-        Links are held to account over all of them and query by query, so that neither the queries
-        of many links nor those of few hide the others. Beyond a quarter of the shard the search is exact.
+        Links are held to account block by block, over all of them and query by query, so that neither the queries
+        of many links nor those of few hide the others; the beam is doubled where they are missed. A block's sample
+        is too small to tell a share of nearest vectors from ``NEAREST``, so these are held to account over all
+        samples of the task, and the beam grows by a quarter. Beyond a quarter of the shard the search is exact.
         """
         sample = np.concatenate((queries[::AUDIT_EVERY], self.turned))
         self.turned = self.turned[:0]
@@ -252,14 +282,21 @@ class Shard:
         wanted, nearest = sims >= self.threshold, sims.max(axis=1)
         counts = wanted.sum(axis=1)
         linked = counts > 0
+        past = self.sample, self.nearest
+        self.sample, self.nearest = np.concatenate((past[0], sample)), np.append(past[1], nearest)
         while 4 * self.beam < self.n:
             query, vertex, best = self.candidates(sample, self.beam)
             found = np.bincount(query[wanted[query, vertex]], minlength=len(sample))
             whole = found.sum() >= RECALL * counts.sum()
             each = (found[linked] / counts[linked]).sum() >= RECALL * linked.sum()
-            if whole and each and (best >= nearest - 1e-6).mean() >= NEAREST:
+            met = np.append(self.met, best >= nearest - 1e-6)
+            near = met.mean() >= NEAREST
+            if whole and each and near:
+                self.met = met
                 return
-            self.beam *= 2
+            self.beam = self.beam * 2 if not (whole and each) else self.beam * 5 // 4
+            if len(past[0]):
+                self.met = self.candidates(past[0], self.beam)[2] >= past[1] - 1e-6
 
     def links(self, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(query, vertex) of all pairs found, verified."""
