@@ -313,7 +313,7 @@ def test_sums_in_blocks_and_shares(spark, ratings, monkeypatch, share):
 
     moved, by_block = [], sums._by_block
     monkeypatch.setattr(sums, "_by_block", lambda rows, *a: moved.append(rows) or by_block(rows, *a))
-    for name, value in {"SHARE": share, "CHUNK": 16, "BLOCKS": 3, "BLOCK_PAIRS": 100}.items():
+    for name, value in {"SHARE": share, "CHUNK": 16, "BLOCKS": 3, "BLOCK_FACTORS": 400}.items():
         monkeypatch.setattr(sums, name, value)
     rows = ratings.toPandas()
     customers, bikes = sums.fit_factors(ratings, 4, 2, 0.01, 1)
