@@ -11,8 +11,11 @@ together whatever N and L turn out to be. A term's postings are ordered by strat
 tf; all postings of such a group have the same impact, which is computed once. A query sums over its
 terms the impact of the largest tf in each stratum: no document of the stratum can score more. Strata are visited
 in falling order of that bound until it is below the score that the last of the best ``top`` documents has; strata
-with an equal bound are still visited, since a smaller id wins a tie. Queries reach the shards in
-blocks of terms, by a join on the shard's lane.
+with an equal bound are still visited, since a smaller id wins a tie. Shards are dealt out to lanes, a few to each.
+Queries reach a lane once, in blocks of terms, and wait there, on disk if they are many; a task has one shard and
+one block in memory at a time. Shards and blocks are packed and compressed on their way, so that the rows
+in which they are stored and shuffled stay small; row groups of the stored index hold a few shards however many a
+task writes.
 
 Null and empty texts have no term, are not counted in N and are never found; a null doc_id is the smallest
 and comes back null; documents with equal ids are ranked one by one. A query row with a null or empty text has no result; equal
@@ -21,7 +24,11 @@ query rows have equal results, each ranked by itself. Other columns are not read
 
 from __future__ import annotations
 
+import pickle
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import count
+from tempfile import SpooledTemporaryFile
 
 import numpy as np
 import pyarrow as pa
@@ -38,69 +45,109 @@ TOP = 50
 SHARD_BYTES = 6_000_000
 #: Terms of the queries that are asked together.
 BLOCK_TERMS = 20_000
-#: Copies of a block of queries among which the shards are dealt out.
-LANES = 32
+#: Shards to which a block of queries is sent at once.
+LANE_SHARDS = 4
+#: Bytes of packed blocks that a task keeps in memory, before it puts them on disk.
+SPOOL_BYTES = 4_000_000
 #: Documents in the strata that are visited at a time.
 VISIT = 256
 
-INDEX = (
-    "shard long, n_docs long, n_terms long, ids array<long>, lengths array<int>, "
-    "terms array<binary>, counts array<int>, docs array<int>, tfs array<int>"
-)
-
-
-def _row_of(shard: int, ids: list[int], texts: list[list[bytes]]) -> pa.RecordBatch:
-    """The index row of some documents, given by their terms."""
-    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
-    by_length = np.argsort(lengths, kind="stable")
-    known: dict[bytes, int] = {}
-    total = int(lengths.sum())
-    codes = np.fromiter((known.setdefault(w, len(known)) for k in by_length for w in texts[k]), np.int64, total)
-    owner = np.repeat(np.arange(len(texts)), lengths[by_length])
-    pairs, tfs = np.unique(codes * len(texts) + owner, return_counts=True)
-    term, doc = pairs // len(texts), pairs % len(texts)
-    counts = np.bincount(term, minlength=len(known))
-
-    def one(values: object, kind: pa.DataType) -> pa.Array:
-        return pa.ListArray.from_arrays([0, len(values)], pa.array(values, kind))
-
-    columns = [pa.array([v], pa.int64()) for v in (shard, int((lengths > 0).sum()), total)]
-    columns += [one(np.array(ids, dtype=np.int64)[by_length], pa.int64()), one(lengths[by_length], pa.int32())]
-    columns += [one(list(known), pa.binary()), one(counts, pa.int32()), one(doc, pa.int32()), one(tfs, pa.int32())]
-    return pa.RecordBatch.from_arrays(columns, names=[f.split()[0] for f in INDEX.split(", ")])
+INDEX = "shard long, n_docs long, n_terms long, held array<struct<term: binary, n: int>>, body binary"
+#: Rows are large: the sizes of a page and of a row group are looked at after each.
+INDEX_FILES = {
+    "compression": "zstd",
+    "parquet.block.size": 8 << 20,
+    "parquet.page.size.row.check.min": 1,
+    "parquet.page.size.row.check.max": 1,
+}
+
+
+def _packed(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(body: bytes) -> pa.RecordBatch:
+    return pa.ipc.open_stream(body).read_next_batch()
+
+
+def _one(values: pa.Array) -> pa.Array:
+    """A column of one row that holds all values."""
+    return pa.ListArray.from_arrays([0, len(values)], values)
+
+
+class OpenShard:
+    """The documents of a shard that is being filled, with a number for each of their words."""
+
+    def __init__(self):
+        self.ids, self.codes, self.size = [], [], 0
+        self.known: dict[bytes, int] = defaultdict(count().__next__)
+
+    def add(self, key: int, body: bytes) -> None:
+        words = words_of(body)
+        self.ids.append(key)
+        self.codes.append(np.fromiter(map(self.known.__getitem__, words), np.int32, len(words)))
+        self.size += len(body)
+
+    def row(self, shard: int) -> pa.RecordBatch:
+        """The index row; the documents of a term are written as steps from the one before, for better packing."""
+        n = len(self.ids)
+        lengths = np.fromiter(map(len, self.codes), np.int64, n)
+        by_length = np.argsort(lengths, kind="stable")
+        pairs = np.concatenate([self.codes[k] for k in by_length]).astype(np.int64) * n
+        pairs += np.repeat(np.arange(n), lengths[by_length])
+        pairs, tfs = np.unique(pairs, return_counts=True)
+        words, counts = list(self.known), np.bincount(pairs // n, minlength=len(self.known))
+        steps = np.diff(pairs % n, prepend=0)
+        body = {
+            "ids": _one(pa.array(np.array(self.ids, dtype=np.int64)[by_length])),
+            "lengths": _one(pa.array(lengths[by_length])),
+            "terms": pa.array([b" ".join(words)], pa.large_binary()),
+            "counts": _one(pa.array(counts.astype(np.int32))),
+            "steps": _one(pa.array(steps.astype(np.int16 if n < 1 << 15 else np.int32))),
+            "tfs": _one(pa.array(tfs.astype(np.int32))),
+        }
+        terms = pa.array(words, pa.binary())
+        held = pa.StructArray.from_arrays([terms, pa.array(counts, pa.int32())], ["term", "n"])
+        numbers = (shard, int((lengths > 0).sum()), int(lengths.sum()))
+        columns = [pa.array([v], pa.int64()) for v in numbers] + [_one(held)]
+        columns.append(pa.array([_packed(pa.RecordBatch.from_pydict(body))], pa.binary()))
+        return pa.RecordBatch.from_arrays(columns, names=["shard", "n_docs", "n_terms", "held", "body"])
 
 
 def index(documents: DataFrame) -> DataFrame:
     """The stored index of all documents (doc_id, text): one row per shard."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard = TaskContext.get().partitionId() << 32
-        ids, texts, size = [], [], 0
+        shard, now = TaskContext.get().partitionId() << 32, OpenShard()
         for batch in small_batches(batches):
             for key, body in zip(*(c.to_pylist() for c in batch.columns)):
                 if not body:
                     continue
-                ids.append(key)
-                texts.append(words_of(body))
-                size += len(body)
-                if size >= SHARD_BYTES:
-                    yield _row_of(shard, ids, texts)
-                    shard, ids, texts, size = shard + 1, [], [], 0
-        if ids:
-            yield _row_of(shard, ids, texts)
+                now.add(key, body)
+                if now.size >= SHARD_BYTES:
+                    yield now.row(shard)
+                    shard, now = shard + 1, OpenShard()
+        if now.ids:
+            yield now.row(shard)
 
     rows = documents.select(id_key().alias("key"), F.col("text").cast("binary").alias("body"))
-    return stored(rows.mapInArrow(run, INDEX), "lexical-index")
+    return stored(rows.mapInArrow(run, INDEX), "lexical-index", INDEX_FILES)
 
 
 class Shard:
-    """One index row, ready for queries."""
-
-    def __init__(self, ids: np.ndarray, lengths: np.ndarray, terms: list[bytes], counts: np.ndarray,
-                 docs: np.ndarray, tfs: np.ndarray, n_docs: int, n_terms: int):
-        self.ids, self.docs, self.tfs = ids, docs, tfs.astype(np.int64)
-        self.number = {t: k for k, t in enumerate(terms)}
-        self.ends = np.cumsum(counts)
+    """The body of an index row, ready for queries."""
+
+    def __init__(self, body: bytes, n_docs: int, n_terms: int):
+        row = _unpacked(body)
+        self.ids, lengths, counts, steps, self.tfs = (
+            row.column(c)[0].values.to_numpy() for c in ("ids", "lengths", "counts", "steps", "tfs")
+        )
+        self.docs = np.cumsum(steps, dtype=np.int32)
+        self.number = {t: k for k, t in enumerate(row.column("terms")[0].as_py().split(b" "))}
+        self.ends = np.cumsum(counts, dtype=np.int64)
         m = 50 + 50 * lengths.astype(np.int64) * n_docs // max(1, n_terms)
         new = np.concatenate(([True], m[1:] != m[:-1]))
         self.stratum, self.m = np.cumsum(new) - 1, m[new]
@@ -123,7 +170,7 @@ class Shard:
         order = np.lexsort((tfs, strata))
         docs, tfs, strata = docs[order], tfs[order], strata[order]
         heads = np.flatnonzero(np.concatenate(([True], (strata[1:] != strata[:-1]) | (tfs[1:] != tfs[:-1]))))
-        tfs, strata = tfs[heads], strata[heads]
+        tfs, strata = tfs[heads].astype(np.int64), strata[heads]
         impacts = 1_000_000_000 * tfs // (1000 * tfs + 20 * self.m[strata])
         last = np.flatnonzero(np.append(strata[1:] != strata[:-1], True))
         return docs, np.diff(np.append(heads, len(docs))), strata, impacts, last
@@ -173,21 +220,23 @@ def _terms(items: DataFrame) -> DataFrame:
 
 
 def _asked(items: DataFrame, shards: DataFrame, n_docs: int) -> DataFrame:
-    """(shard, block, queries): every block of queries for every shard; queries are (q, [(term, w)])."""
+    """(body): the blocks of queries, packed; queries are (q, [(term, w)])."""
     terms = stored(_terms(items), "query-terms")
-    held = shards.select(F.explode(F.arrays_zip("terms", "counts")).alias("t")).select("t.terms", "t.counts")
-    held = held.join(terms.select(F.col("term").alias("terms")).distinct(), "terms", "left_semi")
-    df = held.groupBy(F.col("terms").alias("term")).agg(F.sum("counts").alias("df"))
+    held = shards.select(F.explode("held").alias("t")).select("t.term", "t.n")
+    held = held.join(terms.select("term").distinct(), "term", "left_semi")
+    df = held.groupBy("term").agg(F.sum("n").alias("df"))
     weight = F.floor(1000 * F.log(F.lit(2 * n_docs + 2).cast("double") / (2 * F.col("df") + 1).cast("double")))
     weighed = terms.join(df.select("term", weight.cast("long").alias("w")), "term")
     queries = weighed.groupBy("q").agg(F.collect_list(F.struct("term", "w")).alias("terms"))
     blocks = max(1, -(-terms.count() // BLOCK_TERMS))
     block = F.pmod(F.xxhash64("q"), F.lit(blocks)).cast("int")
-    lanes = F.explode(F.sequence(F.lit(0), F.lit(LANES - 1)))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, 1):
+            yield pa.RecordBatch.from_arrays([pa.array([_packed(batch)], pa.binary())], names=["body"])
+
     packed = queries.groupBy(block.alias("block")).agg(F.collect_list(F.struct("q", "terms")).alias("queries"))
-    dealt = shards.select("shard", F.pmod(F.xxhash64("shard"), F.lit(LANES)).cast("int").alias("lane"))
-    dealt = dealt.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    return dealt.join(packed.withColumn("lane", lanes), ["block", "lane"]).select("shard", "block", "queries")
+    return packed.select("queries").mapInArrow(pack, "body binary")
 
 
 def rank(documents: DataFrame, items: DataFrame, top: int = TOP) -> DataFrame:
@@ -200,34 +249,45 @@ def rank(documents: DataFrame, items: DataFrame, top: int = TOP) -> DataFrame:
     )
     asked_for = stored(asked_for, "query-items")
     shards = index(documents)
-    n_docs, n_terms = (int(v or 0) for v in shards.agg(F.sum("n_docs"), F.sum("n_terms")).first())
-    queries = _asked(asked_for, shards, n_docs)
+    sums = shards.agg(F.count("*"), F.sum("n_docs"), F.sum("n_terms")).first()
+    n_shards, n_docs, n_terms = (int(v or 0) for v in sums)
+    lanes = max(1, -(-n_shards // LANE_SHARDS))
+
+    def search(shard: Shard, queries: list[dict], lowest: dict[int, int]) -> pa.RecordBatch:
+        out: list[list] = [[], [], []]
+        for query in queries:
+            q, terms = query["q"], [(t["term"], t["w"]) for t in query["terms"]]
+            ids, scores = shard.search(terms, top, lowest.get(q, 1))
+            if len(ids) == top:  # what scores less is not among the best of all shards
+                if len(lowest) > 1_000_000:
+                    lowest.clear()
+                lowest[q] = int(scores[-1])
+            for column, values in zip(out, ([q] * len(ids), ids.tolist(), scores.tolist())):
+                column += values
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["q", "key", "score"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, lowest = None, {}
-        for batch in batches:
-            out: list[list] = [[], [], []]
-            for i in range(batch.num_rows):
-                if batch.column("block")[i].as_py() < 0:
-                    ids, lengths, counts, docs, tfs = (
-                        batch.column(c)[i].values.to_numpy() for c in ("ids", "lengths", "counts", "docs", "tfs")
-                    )
-                    shard = Shard(ids, lengths, batch.column("terms")[i].as_py(), counts, docs, tfs, n_docs, n_terms)
+        lane, lowest = None, {}
+        with SpooledTemporaryFile(SPOOL_BYTES) as asked:
+            for batch in small_batches(batches, 1):
+                to, number, body = (c[0].as_py() for c in batch.columns)
+                if to != lane:
+                    lane = to
+                    asked.seek(0)
+                    asked.truncate()
+                if number < 0:
+                    pickle.dump(body, asked)
                     continue
-                for query in batch.column("queries")[i].as_py():
-                    q, terms = query["q"], [(t["term"], t["w"]) for t in query["terms"]]
-                    ids, scores = shard.search(terms, top, lowest.get(q, 1))
-                    if len(ids) == top:  # what scores less is not among the best of all shards
-                        if len(lowest) > 1_000_000:
-                            lowest.clear()
-                        lowest[q] = int(scores[-1])
-                    for column, values in zip(out, ([q] * len(ids), ids.tolist(), scores.tolist())):
-                        column += values
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["q", "key", "score"])
-
-    ready = shards.drop("n_docs", "n_terms").withColumn("block", F.lit(-1))
-    together = ready.unionByName(queries, allowMissingColumns=True)
-    dealt = together.repartition("shard").sortWithinPartitions("shard", "block")
+                shard, end = Shard(body, n_docs, n_terms), asked.tell()
+                asked.seek(0)
+                while asked.tell() < end:
+                    yield search(shard, _unpacked(pickle.load(asked)).column(0)[0].as_py(), lowest)
+
+    ready = shards.select(F.pmod(F.xxhash64("shard"), F.lit(lanes)).cast("int").alias("lane"), "shard", "body")
+    queries = _asked(asked_for, shards, n_docs)
+    lane = F.explode(F.sequence(F.lit(0), F.lit(lanes - 1)))
+    together = ready.union(queries.select(lane.alias("lane"), F.lit(-1).cast("long"), "body"))
+    dealt = together.repartition("lane").sortWithinPartitions("lane", "shard")
     found = dealt.mapInArrow(run, "q long, key long, score long")
     place = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "key"))
     best = found.withColumn("rank", place).where(F.col("rank") <= top)
